@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeweave.llm import media, sharding
+from citeweave.llm import media, mixing, sharding, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sharding": sharding.op2_sharding,
+        "op4_url_filters": urlrules.op4_url_filters,
+        "op6_source_mixing": mixing.op6_source_mixing,
         "op8_media_columns": media.op8_media_columns,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_url_filters": urlrules.SQL}

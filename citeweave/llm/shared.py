@@ -64,13 +64,14 @@ def bucket_of(column: Column, bounds: Sequence[int]) -> Column:
     return high + low
 
 
-def with_positions(df: DataFrame, sums: dict[str, str], order: Sequence[str], bucket: str, groups: Sequence[str] = ()) -> DataFrame:
+def with_positions(df: DataFrame, sums: dict[str, str], order: Sequence[str], bucket: str, groups: Sequence[str] = (), attach: DataFrame | None = None) -> DataFrame:
     """Exclusive prefix sums over all rows of a group in (bucket, order) order.
 
     sums maps a new column to the column it sums. Each bucket is summed by itself,
     the totals per bucket (one row each) are summed across buckets and added, so no
     group is ever in one task. Adds `<new>_total`, the sum over the whole group.
     Group columns must not be null; rows that tie in order get positions in any order.
+    attach has a row per group whose other columns are added, by way of the totals.
     """
     keys = [*groups, bucket]
     totals = df.groupBy(*keys).agg(*[F.sum(c).alias(f"{new}_t") for new, c in sums.items()])
@@ -81,6 +82,7 @@ def with_positions(df: DataFrame, sums: dict[str, str], order: Sequence[str], bu
         *[F.coalesce(F.sum(f"{new}_t").over(before), F.lit(0)).alias(f"{new}_base") for new in sums],
         *[F.sum(f"{new}_t").over(over).alias(f"{new}_total") for new in sums],
     )
+    bases = bases.join(attach, list(groups)) if attach is not None else bases
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = df.join(bases, keys)
     for new, c in sums.items():
