@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeweave.llm import media, mixing, sharding, urlrules
+from citeweave.llm import media, mixing, packing, sharding, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_sharding": sharding.op2_sharding,
         "op4_url_filters": urlrules.op4_url_filters,
+        "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op6_source_mixing": mixing.op6_source_mixing,
         "op8_media_columns": media.op8_media_columns,
     }
