@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeweave.llm import media, mixing, packing, sharding, urlrules
+from citeweave.llm import media, mixing, packing, sharding, spotsigs, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_document_fingerprints": spotsigs.op1_document_fingerprints,
         "op2_sharding": sharding.op2_sharding,
         "op4_url_filters": urlrules.op4_url_filters,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
