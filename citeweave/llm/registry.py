@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeweave.llm import media, mixing, packing, sharding, spotsigs, urlrules
+from citeweave.llm import classify, media, mixing, packing, sharding, spotsigs, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,7 +16,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_url_filters": urlrules.op4_url_filters,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op6_source_mixing": mixing.op6_source_mixing,
+        "op7_quality_classifier": classify.op7_quality_classifier,
         "op8_media_columns": media.op8_media_columns,
+        "op10_toxicity": classify.op10_toxicity,
     }
 
 
