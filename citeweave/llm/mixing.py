@@ -119,7 +119,8 @@ def mix_sources(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed:
     pieces, targets = block_pieces(docs, block, **columns)
     slots = mixture_slots(targets, block, shards, seed)
     taken = F.when(F.col("slot").isNull(), 0).otherwise(F.greatest(F.least("high", "words") - F.col("low"), F.lit(0))).cast("long")
-    return pieces.join(slots, ["skey", "block_no"], "left").withColumn("taken", taken)
+    # A merge join by hint: the slots are exploded from few rows, by whose size they would be broadcast.
+    return pieces.join(slots.hint("merge"), ["skey", "block_no"], "left").withColumn("taken", taken)
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
