@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeweave.llm import classify, media, mixing, packing, sharding, spotsigs, urlrules
+from citeweave.llm import classify, media, mixing, packing, pii, sharding, spotsigs, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_source_mixing": mixing.op6_source_mixing,
         "op7_quality_classifier": classify.op7_quality_classifier,
         "op8_media_columns": media.op8_media_columns,
+        "op9_personal_data": pii.op9_personal_data,
         "op10_toxicity": classify.op10_toxicity,
     }
 
