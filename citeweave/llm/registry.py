@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeweave.llm import classify, media, mixing, packing, pii, sharding, spotsigs, urlrules
+from citeweave.llm import classify, media, mixing, ngramjoin, packing, pii, sharding, spotsigs, urlrules
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_document_fingerprints": spotsigs.op1_document_fingerprints,
         "op2_sharding": sharding.op2_sharding,
+        "op3_ngram_jaccard_join": ngramjoin.op3_ngram_jaccard_join,
         "op4_url_filters": urlrules.op4_url_filters,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op6_source_mixing": mixing.op6_source_mixing,
