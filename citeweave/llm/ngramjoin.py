@@ -8,7 +8,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citeweave.llm.components import components
@@ -23,6 +23,10 @@ SKETCH_PART, SKETCH_FAN = 4096, 128
 SUFFIX_PARTS = 64
 #: Sets that meet at one n-gram are compared pair by pair up to this many, and in blocks of about as many beyond.
 BLOCK = 256
+#: An n-gram is frequent if its estimate is over this many times the sketch's mean; others' groups are surely small.
+FREQUENT = 4
+#: Ids that are sent to all workers at most; more are joined by shuffling the texts.
+MOST_SENT = 1_000_000
 _STEP = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -94,15 +98,36 @@ def frequency_sketch(texts: DataFrame, n: int) -> np.ndarray:
     return out.reshape(SKETCH_ROWS, SKETCH_WIDTH)
 
 
+def set_keys(texts: DataFrame, n: int) -> DataFrame:
+    """id, n and key (digest of the set; null if empty) of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, keys = [], []
+            for _, b in buffers(_texts(batch, "text")):
+                o, h = shingle_sets(b, n)
+                cuts = np.searchsorted(o, np.arange(b.count + 1))
+                sizes += np.diff(cuts).tolist()
+                keys += [_digest(h[cuts[i] : cuts[i + 1]]) for i in range(b.count)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())], ["id", "n", "key"])
+
+    return texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, n long, key binary")
+
+
+def _digest(s: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
+
+
 def signatures(texts: DataFrame, n: int, num: int, den: int, sketch: np.ndarray) -> DataFrame:
-    """id, n, key (digest of the set; null if empty), prefix (rarest n-grams first) and parts (sizes of the set's parts by hash)."""
+    """As set_keys, with prefix (rarest n-grams first), rare (how many of it are no frequent ones) and parts (sizes of the set's parts by hash)."""
+    frequent = FREQUENT * sketch.sum() / sketch.size
     shared = texts.sparkSession.sparkContext.broadcast(sketch)  # fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = shared.value
         for batch in batches:
             raw = _texts(batch, "text")
-            sizes, keys, prefix, lengths, parts = [], [], [], [], []
+            sizes, keys, prefix, lengths, parts, rare = [], [], [], [], [], []
             for _, b in buffers(raw):
                 o, h = shingle_sets(b, n)
                 count = np.bincount(o, minlength=b.count) if len(o) else np.zeros(b.count, np.int64)
@@ -110,13 +135,14 @@ def signatures(texts: DataFrame, n: int, num: int, den: int, sketch: np.ndarray)
                 rarity = np.minimum.reduce([seen[r][at] for r, at in enumerate(_slots(h))])
                 order = np.lexsort((h, rarity, o))
                 parts.append(np.bincount(o * SUFFIX_PARTS + (h >> np.uint64(58)).astype(np.int64), minlength=b.count * SUFFIX_PARTS) if len(o) else np.zeros(b.count * SUFFIX_PARTS, np.int64))
-                ranked = h[order]
+                ranked, common = h[order], rarity[order] > frequent
                 for i in range(b.count):
                     s = h[cuts[i] : cuts[i + 1]]
-                    keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                    keys.append(_digest(s))
                     take = len(s) + (num * len(s) // -den) + 1 if len(s) else 0  # n - ceil(t * n) + 1
                     prefix.append(ranked[cuts[i] : cuts[i] + take])
                     lengths.append(take)
+                    rare.append(take - int(common[cuts[i] : cuts[i] + take].sum()))
                 sizes.append(count)
             rows = len(raw)
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
@@ -125,11 +151,12 @@ def signatures(texts: DataFrame, n: int, num: int, den: int, sketch: np.ndarray)
                 [
                     batch.column("id"), pa.array(np.concatenate(sizes) if rows else [], pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                     pa.ListArray.from_arrays(pa.array((np.arange(rows + 1) * SUFFIX_PARTS).astype(np.int32)), pa.array((np.concatenate(parts) if rows else np.zeros(0)).astype(np.int32))),
+                    pa.array(rare, pa.int64()),
                 ],
-                ["id", "n", "key", "prefix", "parts"],
+                ["id", "n", "key", "prefix", "parts", "rare"],
             )
 
-    return texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, n long, key binary, prefix array<long>, parts array<int>")
+    return texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, n long, key binary, prefix array<long>, parts array<int>, rare long")
 
 
 def whole_sets(texts: DataFrame, n: int) -> DataFrame:
@@ -143,7 +170,7 @@ def whole_sets(texts: DataFrame, n: int) -> DataFrame:
                 cuts = np.searchsorted(o, np.arange(b.count + 1))
                 for i in range(b.count):
                     s = h[cuts[i] : cuts[i + 1]]
-                    keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    keys.append(_digest(s))
                     sets.append(s)
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
@@ -205,10 +232,16 @@ def block_links(group: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
         a, b = root(int(left[i])), root(int(right[j]))
         if a != b:
             parent[max(a, b)] = min(a, b)
-    out = [(group["key"][i], group["key"][root(int(i))], int(degree[i])) for i in np.flatnonzero(degree)]
+    out = [(int(group["node"][i]), int(group["node"][root(int(i))]), int(degree[i])) for i in np.flatnonzero(degree)]
     return pd.DataFrame(out, columns=["a", "b", "links"])
 
 
+def sendable(ids: DataFrame) -> DataFrame:
+    """ids marked to be sent to all workers if they are counted to be few enough; else left to a shuffled join."""
+    ids = staged(ids)
+    return F.broadcast(ids) if ids.count() <= MOST_SENT else ids
+
+
 def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """Link texts whose sets of n-word shingles have a Jaccard similarity of num / den or more.
 
@@ -232,53 +265,58 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType
-    sigs = staged(signatures(texts, n, num, den, frequency_sketch(texts, n)))
-    classes = staged(
-        sigs.where("n > 0").groupBy("key").agg(F.min("id").alias("low"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts"))
-    )
-    postings = classes.select("key", "n", F.posexplode("prefix").alias("pos", "token"))
-    counts = postings.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1")
-    met = staged(postings.join(counts, "token"))
+    sigs = staged(set_keys(texts, n))
+    first = lambda c: F.first(c).alias(c)
+    classes = signatures(texts, n, num, den, frequency_sketch(texts, n)).where("n > 0").groupBy("key").agg(F.min("id").alias("low"), F.count("*").alias("copies"), first("n"), first("prefix"), first("parts"), first("rare"))
+    classes = staged(classes.withColumn("node", F.monotonically_increasing_id()))
+
+    # Rare n-grams are counted where they meet, frequent ones before.
+    postings = classes.select("node", "n", "rare", F.posexplode("prefix").alias("pos", "token"))
+    rare = postings.where("pos < rare").drop("rare").withColumn("sets", F.count("*").over(Window.partitionBy("token")))
+    common = postings.where("pos >= rare").drop("rare")
+    common = common.join(common.groupBy("token").agg(F.count("*").alias("sets")), "token")
+    met = staged(rare.unionByName(common).where("sets > 1"))
 
     few = met.where(F.col("sets") <= block)
     a, b = few.alias("a"), few.alias("b")
     wanted = F.expr(f"ceil({num} * (a.n + b.n) / {num + den})")
     pairs = a.join(
         b,
-        (F.col("a.token") == F.col("b.token")) & (F.col("a.key") < F.col("b.key")) & F.expr(f"least(a.n, b.n) * {den} >= greatest(a.n, b.n) * {num}") & (F.expr("least(a.n - a.pos, b.n - b.pos)") >= wanted),
-    ).select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).distinct()
-    side = lambda c: classes.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"), F.col("parts").alias(f"parts_{c}"), F.col("copies").alias(f"copies_{c}"))
+        (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & F.expr(f"least(a.n, b.n) * {den} >= greatest(a.n, b.n) * {num}") & (F.expr("least(a.n - a.pos, b.n - b.pos)") >= wanted),
+    ).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("parts").alias(f"parts_{c}"), F.col("copies").alias(f"copies_{c}"))
     most = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(most * den >= num * (F.col("n_a") + F.col("n_b") - most)).select("a", "b", "n_a", "n_b", "copies_a", "copies_b")
     pairs = staged(pairs)
 
     many = met.where(F.col("sets") > block)
-    needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).unionByName(many.select("key")).distinct()
-    lows = classes.join(needed, "key").select(F.col("low").alias("id")).distinct()
-    sets = staged(whole_sets(texts.join(lows, "id", "left_semi"), n).join(needed, "key", "left_semi").groupBy("key").agg(F.first("shingles").alias("shingles")))
+    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(many.select("node")).distinct()
+    needed = staged(classes.join(needed, "node").select("node", "key", "low"))
+    lows = sendable(needed.select(F.col("low").alias("id")).distinct())
+    sets = staged(whole_sets(texts.join(lows, "id", "left_semi"), n).join(needed.select("key", "node"), "key").groupBy("node").agg(F.first("shingles").alias("shingles")))
 
     both = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
-    held = lambda c: sets.select(F.col("key").alias(c), F.col("shingles").alias(f"shingles_{c}"))
+    held = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"shingles_{c}"))
     verified = pairs.join(held("a"), "a").join(held("b"), "b").withColumn("both", both).where(F.col("both") * den >= num * (F.col("n_a") + F.col("n_b") - F.col("both")))
     found = verified.select("a", "b", "copies_a", "copies_b")
 
-    in_many = many.select("key").distinct()
-    of_many = met.join(in_many, "key", "left_semi").groupBy("key").agg(F.collect_list(F.when(F.col("sets") > block, F.col("token"))).alias("frequent"), F.collect_list(F.when(F.col("sets") <= block, F.col("token"))).alias("met"))
-    of_many = of_many.join(sets, "key").join(classes.select("key", "n", "copies"), "key")
+    in_many = many.select("node").distinct()
+    of_many = met.join(in_many, "node", "left_semi").groupBy("node").agg(F.collect_list(F.when(F.col("sets") > block, F.col("token"))).alias("frequent"), F.collect_list(F.when(F.col("sets") <= block, F.col("token"))).alias("met"))
+    of_many = of_many.join(sets, "node").join(classes.select("node", "n", "copies"), "node")
     blocks = F.ceil(F.col("sets") / block).cast("int")
-    dealt = many.select("token", "key", blocks.alias("blocks"), F.pmod(F.xxhash64("key", "token"), blocks).cast("int").alias("block")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("token", "key", "block", F.least("block", "other").alias("low_block"), F.greatest("block", "other").alias("high_block")).join(of_many, "key")
-    in_blocks = dealt.groupBy("token", "low_block", "high_block").applyInPandas(lambda g: block_links(g, num, den), "a binary, b binary, links long")
+    dealt = many.select("token", "node", blocks.alias("blocks"), F.pmod(F.xxhash64("node", "token"), blocks).cast("int").alias("block")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("token", "node", "block", F.least("block", "other").alias("low_block"), F.greatest("block", "other").alias("high_block")).join(of_many, "node")
+    in_blocks = dealt.groupBy("token", "low_block", "high_block").applyInPandas(lambda g: block_links(g, num, den), "a long, b long, links long")
 
     links = staged(
         found.select("a", "b", F.col("copies_b").alias("links")).unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("copies_a").alias("links"))).unionByName(in_blocks)
     )
     roots = components(links.select("a", "b"))
-    nodes = roots.withColumnRenamed("node", "key").join(classes.select("key", "low"), "key")
+    nodes = roots.join(classes.select("node", "low"), "node")
     lowest = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
-    degree = links.groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
-    known = nodes.join(lowest, "root").select("key", "component_id").join(degree, "key", "left")
-    of_class = classes.select("key", "low", "copies").join(known, "key", "left")
+    degree = links.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    known = nodes.join(lowest, "root").select("node", "component_id").join(degree, "node", "left")
+    of_class = classes.select("node", "key", "low", "copies").join(known, "node", "left").drop("node")
     full = sigs.where("n > 0").select("id", "n", "key").join(of_class, "key")
     full = full.select("id", F.col("n").alias("n_shingles"), F.col("low").alias("class_id"), F.coalesce("component_id", "low").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     empty = sigs.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("class_id"), F.col("id").cast(kind).alias("component_id"), F.lit(0).cast("long").alias("n_links"))
