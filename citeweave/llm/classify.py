@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -227,6 +228,18 @@ def toxicity_scorer(docs: DataFrame, labels: DataFrame, folds: int = 4, held: in
     return score
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, all columns as they are, whose text's quality score reaches the threshold."""
+    score = quality_scorer(docs, labels)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+            yield batch.filter(pa.array(score(texts) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _query(spark: SparkSession, sf_dir: str, scorer: Callable, folds: int, held: int) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = _scored(docs, scorer(docs, labels, folds, held), ["doc_id"])

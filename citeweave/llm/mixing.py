@@ -78,7 +78,7 @@ def block_pieces(docs: DataFrame, block: int, id_col: str = "doc_id", text_col:
     """Pack each source's words, in ascending id order, into blocks; also its targets.
 
     The pieces have a row per document and block it lies in (one with nulls for a
-    document without words): doc_id, skey, row (numbers a source's documents), size,
+    document without words): doc_id, digest (hash of its text), skey, row (numbers a source's documents), size,
     source_size, target, block_no, low and high (place in the block), skip (its
     document's words before it).
     """
@@ -86,17 +86,17 @@ def block_pieces(docs: DataFrame, block: int, id_col: str = "doc_id", text_col:
     rows = staged(
         docs.select(
             F.col(id_col).alias("doc_id"), source.alias("source"), F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("skey"),
-            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.lit(1).cast("long").alias("one"),
+            F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.lit(1).cast("long").alias("one"), F.xxhash64(text_col).alias("digest"),
         )
     )
     targets = staged(source_targets(rows))
     bounds = range_bounds(rows, "doc_id", 4 * shuffle_partitions(docs.sparkSession))
-    placed = with_positions(rows.withColumn("bucket", bucket_of(F.col("doc_id"), bounds)), {"start": "size", "row": "one"}, ["doc_id", "size"], "bucket", ["skey"], targets)
+    placed = with_positions(rows.withColumn("bucket", bucket_of(F.col("doc_id"), bounds)), {"start": "size", "row": "one"}, ["doc_id", "size", "digest"], "bucket", ["skey"], targets)
     first, last = F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}")
     pieces = placed.withColumn("block_no", F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))))
     base = F.col("block_no") * block
     pieces = pieces.select(
-        "doc_id", "source", "skey", "row", "size", "source_size", "target", "block_no", F.greatest(F.col("start") - base, F.lit(0)).alias("low"), F.least(F.col("start") + F.col("size") - base, F.lit(block)).alias("high"), F.greatest(base - F.col("start"), F.lit(0)).alias("skip")
+        "doc_id", "digest", "source", "skey", "row", "size", "source_size", "target", "block_no", F.greatest(F.col("start") - base, F.lit(0)).alias("low"), F.least(F.col("start") + F.col("size") - base, F.lit(block)).alias("high"), F.greatest(base - F.col("start"), F.lit(0)).alias("skip")
     )
     return pieces, targets
 
@@ -123,6 +123,33 @@ def mix_sources(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed:
     return pieces.join(slots.hint("merge"), ["skey", "block_no"], "left").withColumn("taken", taken)
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, source and others) as the mix takes them, with the same columns.
+
+    A row per document and epoch with the words that the epoch's slots take of it, in
+    their order and with the white space between them; documents of which nothing is taken
+    go. n_chars, if there, is the new text's. Rows that repeat id and text are taken as
+    often as the mix takes each of them. Texts meet their places by id and hash, once.
+    """
+    key = lambda: F.struct("doc_id", "digest").alias("mixed_key")
+    parts = mix_sources(docs).where("taken > 0").groupBy(key(), "skey", "row", "epoch").agg(F.array_sort(F.collect_list(F.struct("skip", "taken"))).alias("mixed_parts"))
+    hashed = docs.withColumn("mixed_key", F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("digest")))
+    places = parts.groupBy("mixed_key").agg(F.collect_list("mixed_parts").alias("mixed_epochs"))  # MOST_EPOCHS a row, if ids are unique
+    joined = hashed.join(places, "mixed_key")
+    repeated = parts.select("mixed_key", "row", "skey").distinct().groupBy("mixed_key").agg(F.count("*").alias("mixed_rows")).where("mixed_rows > 1")
+    if not repeated.isEmpty():
+        joined = joined.dropDuplicates(["mixed_key"])
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+
+    def texts_of(tokens: Column) -> Column:
+        piece = lambda p: F.array_join(F.slice(tokens, (p["skip"] + 1).cast("int"), p["taken"].cast("int")), "")
+        return F.transform("mixed_epochs", lambda parts: F.array_join(F.transform(parts, piece), ""))
+
+    out = joined.withColumn("mixed_text", F.explode(F.transform(F.array(words), texts_of).getItem(0)))
+    new = {"text": F.col("mixed_text"), "n_chars": F.length("mixed_text").cast("long")}
+    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document how many of its words the mix takes."""
     mixed = mix_sources(documents(spark, sf_dir))

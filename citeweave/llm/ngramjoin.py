@@ -264,7 +264,6 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
     than two blocks, and nothing is left out.
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = texts.schema["id"].dataType
     sigs = staged(set_keys(texts, n))
     first = lambda c: F.first(c).alias(c)
     classes = signatures(texts, n, num, den, frequency_sketch(texts, n)).where("n > 0").groupBy("key").agg(F.min("id").alias("low"), F.count("*").alias("copies"), first("n"), first("prefix"), first("parts"), first("rare"))
@@ -319,9 +318,27 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
     of_class = classes.select("node", "key", "low", "copies").join(known, "node", "left").drop("node")
     full = sigs.where("n > 0").select("id", "n", "key").join(of_class, "key")
     full = full.select("id", F.col("n").alias("n_shingles"), F.col("low").alias("class_id"), F.coalesce("component_id", "low").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    empty = sigs.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("class_id"), F.col("id").cast(kind).alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    empty = sigs.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("class_id"), F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return full.unionByName(empty).withColumnRenamed("id", id_col)
 
 
+def one_of_each(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+    """The rows of docs (doc_id, text and others) but for near duplicates: of each component the row of its smallest id stays.
+
+    Texts without words are no duplicates of anything, but a row that repeats another's id
+    and text goes, as does one with the same id and a similar text.
+    """
+    ident = lambda: F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("digest"))
+    joined = staged(ngram_join(docs.select(ident().alias("near_id"), "text"), n, num, den, id_col="near_id").select("near_id", "component_id"))
+    gone = sendable(joined.where("near_id <> component_id").select("near_id").distinct())
+    marked = docs.withColumn("near_id", ident())
+    left = marked.join(gone, "near_id", "left_anti")
+    repeated = staged(joined.where("near_id = component_id").groupBy("near_id").count().where("count > 1").select("near_id"))
+    if not repeated.isEmpty():
+        some = sendable(repeated)
+        left = left.join(some, "near_id", "left_anti").unionByName(left.join(some, "near_id", "left_semi").dropDuplicates(["near_id"]))
+    return left.select(*docs.columns)
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(documents(spark, sf_dir), 3, 90, 100).select("doc_id", "n_shingles", "component_id", "class_id", "n_links")

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -440,5 +441,24 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out if masked else out.drop("masked")
 
 
+def masked_documents(docs: DataFrame, model: Tagger | None = None) -> DataFrame:
+    """docs with every span of personal data in text as [KIND], and n_chars, if there, as the new text's. All else stays."""
+    tagger = model or default_tagger(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            counts = batch.column("n_chars").to_pylist() if "n_chars" in batch.schema.names else None
+            for i, (own, more) in enumerate(find([t or "" for t in texts], tagger)):
+                if own or more:
+                    texts[i] = mask(texts[i], [*own, *more])
+                    if counts:
+                        counts[i] = len(texts[i])
+            new = {"text": texts} | ({"n_chars": counts} if counts is not None else {})
+            yield pa.RecordBatch.from_arrays([pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name) for f in batch.schema], schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(documents(spark, sf_dir))
