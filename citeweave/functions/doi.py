@@ -95,7 +95,7 @@ def _mend_urls(text: str) -> str:
         return "".join(tokens).rstrip(_EDGE)
 
     text = re.sub(r"(?i)(?:https?://doi\.org/){2,}", "https://doi.org/", text)
-    return re.sub(r"(?i)https?://(?:dx\.)?doi\.org/\S+(?:\s+\S+){0,12}", mend, text)
+    return re.sub(r"(?i)https?://(?:dx\.)?doi\.org/\S+(?:\s+\S+){0,11}", mend, text)
 
 
 def extract_ids(text: str | None) -> list[str]:
