@@ -90,7 +90,7 @@ def _mend_urls(text: str) -> str:
 
     def mend(m: re.Match) -> str:
         tokens = m[0].split()
-        if len(tokens) < 2 or not tokens[0].endswith(_BREAKS) or _NAME_LIKE.match(tokens[1]):
+        if len(tokens) < 2 or not tokens[0].endswith(_BREAKS) or _NAME_LIKE.match(tokens[1].strip(_EDGE)):
             return m[0]
         return "".join(tokens).rstrip(_EDGE)
 
