@@ -197,24 +197,24 @@ def overlaps(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndar
 
 
 def block_links(group: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """Links between the sets of two blocks that meet at a frequent n-gram.
+    """Links between the sets of two blocks of a cluster of frequent n-grams.
 
-    A pair is treated here only if no rarer-met n-gram of both prefixes brings it
-    together elsewhere, and this is the first frequent one of both. Returns, per set with
-    links, the copies it is linked with, and edges that connect what is linked.
+    A pair is treated here only if no n-gram that few sets meet brings it together
+    elsewhere, and this is the first cluster of both. Returns, per set with links, the
+    copies it is linked with, and edges that connect what is linked.
     """
-    token, one, two = (group[c].iloc[0] for c in ("token", "low_block", "high_block"))
+    cluster, one, two = (group[c].iloc[0] for c in ("cluster", "low_block", "high_block"))
     group = group.reset_index(drop=True)
     left = np.flatnonzero(group["block"] == one)
     right = left if one == two else np.flatnonzero(group["block"] == two)
-    lists = {c: [np.asarray(v if v is not None else [], np.int64) for v in group[c]] for c in ("shingles", "frequent", "met")}
-    lists["frequent"] = [v[v < token] for v in lists["frequent"]]
+    lists = {c: [np.asarray(v if v is not None else [], np.int64) for v in group[c]] for c in ("shingles", "clusters", "met")}
+    lists["clusters"] = [v[v < cluster] for v in lists["clusters"]]
     size, copies = group["n"].to_numpy(np.int64), group["copies"].to_numpy(np.int64)
     of = lambda c, rows: [lists[c][i] for i in rows]
     both = overlaps(of("shingles", left), of("shingles", right))
     linked = den * both >= num * (size[left][:, None] + size[right][None, :] - both)
     if linked.any():
-        linked &= (overlaps(of("met", left), of("met", right)) == 0) & (overlaps(of("frequent", left), of("frequent", right)) == 0)
+        linked &= (overlaps(of("met", left), of("met", right)) == 0) & (overlaps(of("clusters", left), of("clusters", right)) == 0)
     if one == two:
         linked = np.triu(linked, 1)
     degree = np.zeros(len(group), np.int64)
@@ -258,7 +258,8 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
     all texts: if two sets are similar enough, the first n - ceil(t * n) + 1 have one in
     common. Up to `block` classes that meet are paired there if sizes (length filter), the
     places of the n-gram in both orders (positional filter) and the sizes of 64 parts of both
-    sets (suffix filter) allow the similarity; each pair is verified once. More than that
+    sets (suffix filter) allow the similarity; each pair is verified once. N-grams that
+    more meet are clustered by the sets they meet in; a cluster's classes
     are cut into blocks, and every two blocks are compared in a task of their own, which
     returns links' counts and connecting edges instead of pairs. So no task gathers more
     than two blocks, and nothing is left out.
@@ -299,13 +300,16 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
     verified = pairs.join(held("a"), "a").join(held("b"), "b").withColumn("both", both).where(F.col("both") * den >= num * (F.col("n_a") + F.col("n_b") - F.col("both")))
     found = verified.select("a", "b", "copies_a", "copies_b")
 
-    in_many = many.select("node").distinct()
-    of_many = met.join(in_many, "node", "left_semi").groupBy("node").agg(F.collect_list(F.when(F.col("sets") > block, F.col("token"))).alias("frequent"), F.collect_list(F.when(F.col("sets") <= block, F.col("token"))).alias("met"))
-    of_many = of_many.join(sets, "node").join(classes.select("node", "n", "copies"), "node")
-    blocks = F.ceil(F.col("sets") / block).cast("int")
-    dealt = many.select("token", "node", blocks.alias("blocks"), F.pmod(F.xxhash64("node", "token"), blocks).cast("int").alias("block")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("token", "node", "block", F.least("block", "other").alias("low_block"), F.greatest("block", "other").alias("high_block")).join(of_many, "node")
-    in_blocks = dealt.groupBy("token", "low_block", "high_block").applyInPandas(lambda g: block_links(g, num, den), "a long, b long, links long")
+    # Frequent n-grams met by nearly the same sets get one cluster: that of the least of the sets by hash.
+    groups = many.groupBy("token").agg(F.min(F.xxhash64("node")).alias("cluster"))
+    clustered = staged(many.join(groups, "token").select("cluster", "node").distinct())
+    in_many = clustered.groupBy("node").agg(F.collect_list("cluster").alias("clusters"))
+    other_met = few.join(in_many.select("node"), "node", "left_semi").groupBy("node").agg(F.collect_list("token").alias("met"))
+    of_many = staged(in_many.join(other_met, "node", "left").join(sets, "node").join(classes.select("node", "n", "copies"), "node"))
+    blocks = clustered.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    dealt = clustered.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node", "cluster"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("cluster", "node", "block", F.least("block", "other").alias("low_block"), F.greatest("block", "other").alias("high_block")).join(of_many, "node")
+    in_blocks = dealt.groupBy("cluster", "low_block", "high_block").applyInPandas(lambda g: block_links(g, num, den), "a long, b long, links long")
 
     links = staged(
         found.select("a", "b", F.col("copies_b").alias("links")).unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("copies_a").alias("links"))).unionByName(in_blocks)
