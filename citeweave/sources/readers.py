@@ -28,7 +28,7 @@ def read_journal_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_mods(spark: SparkSession, path: str) -> DataFrame:
     """MODS records; names come without their prefix."""
-    return spark.read.format("xml").options(rowTag="mods:mods", ignoreNamespace=True).schema(MODS_SCHEMA).load(path)
+    return spark.read.format("xml").options(rowTag="mods", ignoreNamespace=True).schema(MODS_SCHEMA).load(path)
 
 
 def read_pdfs(spark: SparkSession, path: str, backends: Sequence[str] = ("pymupdf", "pdfminer")) -> DataFrame:
