@@ -21,8 +21,8 @@ SKETCH_ROWS, SKETCH_WIDTH = 2, 1 << 18
 SKETCH_PART, SKETCH_FAN = 4096, 128
 #: Parts of a set that the suffix filter counts.
 SUFFIX_PARTS = 64
-#: Sets that meet at one n-gram are compared pair by pair up to this many, and in blocks of about as many beyond.
-BLOCK = 256
+#: Sets that meet at one n-gram are compared pair by pair up to this many, and in blocks of about BLOCK beyond.
+FEW, BLOCK = 32, 256
 #: An n-gram is frequent if its estimate is over this many times the sketch's mean; others' groups are surely small.
 FREQUENT = 4
 #: Ids that are sent to all workers at most; more are joined by shuffling the texts.
@@ -242,7 +242,7 @@ def sendable(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= MOST_SENT else ids
 
 
-def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
+def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, most_paired: int = FEW) -> DataFrame:
     """Link texts whose sets of n-word shingles have a Jaccard similarity of num / den or more.
 
     Returns, per row: id, n_shingles, class_id (smallest id with the same set),
@@ -256,7 +256,7 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
 
     Classes meet at the rarest n-grams of their sets, in the order of a frequency sketch of
     all texts: if two sets are similar enough, the first n - ceil(t * n) + 1 have one in
-    common. Up to `block` classes that meet are paired there if sizes (length filter), the
+    common. Up to `most_paired` classes that meet are paired there if sizes (length filter), the
     places of the n-gram in both orders (positional filter) and the sizes of 64 parts of both
     sets (suffix filter) allow the similarity; each pair is verified once. N-grams that
     more meet are clustered by the sets they meet in; a cluster's classes
@@ -277,7 +277,7 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
     common = common.join(common.groupBy("token").agg(F.count("*").alias("sets")), "token")
     met = staged(rare.unionByName(common).where("sets > 1"))
 
-    few = met.where(F.col("sets") <= block)
+    few = met.where(F.col("sets") <= min(most_paired, block))
     a, b = few.alias("a"), few.alias("b")
     wanted = F.expr(f"ceil({num} * (a.n + b.n) / {num + den})")
     pairs = a.join(
@@ -289,7 +289,7 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(most * den >= num * (F.col("n_a") + F.col("n_b") - most)).select("a", "b", "n_a", "n_b", "copies_a", "copies_b")
     pairs = staged(pairs)
 
-    many = met.where(F.col("sets") > block)
+    many = met.where(F.col("sets") > min(most_paired, block))
     needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(many.select("node")).distinct()
     needed = staged(classes.join(needed, "node").select("node", "key", "low"))
     lows = sendable(needed.select(F.col("low").alias("id")).distinct())
