@@ -179,8 +179,12 @@ def whole_sets(texts: DataFrame, n: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "key binary, shingles array<long>")
 
 
-def overlaps(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of each left with each right set."""
+def overlaps(left: Sequence[np.ndarray], right: Sequence[np.ndarray], rests: tuple[Sequence[np.ndarray], Sequence[np.ndarray]] | None = None, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set.
+
+    With rests, a number for each element of left and of right, only those elements count
+    of which both numbers are as large as wanted of the pair.
+    """
     out = np.zeros((len(left), len(right)), np.int64)
     if not left or not right:
         return out
@@ -188,10 +192,13 @@ def overlaps(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndar
     owner = np.repeat(np.arange(len(right)), [len(s) for s in right])
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
+    rest = np.concatenate(rests[1])[order] if rests else None
     for i, s in enumerate(left):
         low, high = np.searchsorted(values, s, "left"), np.searchsorted(values, s, "right")
         long = high - low
         at = np.repeat(low - np.concatenate([[0], np.cumsum(long)[:-1]]), long) + np.arange(long.sum()) if len(s) else np.zeros(0, np.int64)
+        if rests:
+            at = at[np.minimum(np.repeat(rests[0][i], long), rest[at]) >= wanted[i, owner[at]]]
         out[i] = np.bincount(owner[at], minlength=len(right))
     return out
 
@@ -199,22 +206,25 @@ def overlaps(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndar
 def block_links(group: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
     """Links between the sets of two blocks of a cluster of frequent n-grams.
 
-    A pair is treated here only if no n-gram that few sets meet brings it together
-    elsewhere, and this is the first cluster of both. Returns, per set with links, the
-    copies it is linked with, and edges that connect what is linked.
+    A pair is treated here only if no n-gram that few sets meet makes it a candidate
+    elsewhere, and this is the first cluster of both. The first n-gram of both may be a
+    frequent one, so one of few sets counts only where the positional filter lets the pair
+    through. Returns, per set with links, the copies it is linked with, and edges that
+    connect what is linked.
     """
     cluster, one, two = (group[c].iloc[0] for c in ("cluster", "low_block", "high_block"))
     group = group.reset_index(drop=True)
     left = np.flatnonzero(group["block"] == one)
     right = left if one == two else np.flatnonzero(group["block"] == two)
-    lists = {c: [np.asarray(v if v is not None else [], np.int64) for v in group[c]] for c in ("shingles", "clusters", "met")}
+    lists = {c: [np.asarray(v if v is not None else [], np.int64) for v in group[c]] for c in ("shingles", "clusters", "met", "rest")}
     lists["clusters"] = [v[v < cluster] for v in lists["clusters"]]
     size, copies = group["n"].to_numpy(np.int64), group["copies"].to_numpy(np.int64)
     of = lambda c, rows: [lists[c][i] for i in rows]
-    both = overlaps(of("shingles", left), of("shingles", right))
-    linked = den * both >= num * (size[left][:, None] + size[right][None, :] - both)
+    both, total = overlaps(of("shingles", left), of("shingles", right)), size[left][:, None] + size[right][None, :]
+    linked = den * both >= num * (total - both)
     if linked.any():
-        linked &= (overlaps(of("met", left), of("met", right)) == 0) & (overlaps(of("clusters", left), of("clusters", right)) == 0)
+        elsewhere = overlaps(of("met", left), of("met", right), (of("rest", left), of("rest", right)), -(-num * total // (num + den)))
+        linked &= (elsewhere == 0) & (overlaps(of("clusters", left), of("clusters", right)) == 0)
     if one == two:
         linked = np.triu(linked, 1)
     degree = np.zeros(len(group), np.int64)
@@ -304,7 +314,7 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
     groups = many.groupBy("token").agg(F.min(F.xxhash64("node")).alias("cluster"))
     clustered = staged(many.join(groups, "token").select("cluster", "node").distinct())
     in_many = clustered.groupBy("node").agg(F.collect_list("cluster").alias("clusters"))
-    other_met = few.join(in_many.select("node"), "node", "left_semi").groupBy("node").agg(F.collect_list("token").alias("met"))
+    other_met = few.join(in_many.select("node"), "node", "left_semi").groupBy("node").agg(F.collect_list(F.struct("token", (F.col("n") - F.col("pos")).cast("int").alias("rest"))).alias("met")).select("node", F.col("met.token").alias("met"), F.col("met.rest").alias("rest"))
     of_many = staged(in_many.join(other_met, "node", "left").join(sets, "node").join(classes.select("node", "n", "copies"), "node"))
     blocks = clustered.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     dealt = clustered.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node", "cluster"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -119,6 +119,17 @@ def test_ngram_join(spark, docs, empty, block):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in got) == want
 
 
+def test_ngram_join_large_group(spark):
+    """Several hundred different near copies and the default block: pairs may meet at a frequent n-gram first and at one of few sets later."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(60)]
+    texts = [(k, " ".join(w if rng.random() > 0.03 else f"z{k}x{i}" for i, w in enumerate(base))) for k in range(420)]
+    sets, roots, links = brute_join(texts, 3, 80, 100)
+    low = {r: min(texts[i][0] for i in range(len(texts)) if roots[i] == r) for r in set(roots)}
+    got = ngramjoin.ngram_join(spark.createDataFrame(texts, "doc_id long, text string").repartition(3), 3, 80, 100).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in got} == {k: (len(sets[k]), low[roots[k]], links[k]) for k, _ in texts}
+
+
 def test_one_of_each(docs):
     kept = Counter((r["doc_id"], r["text"]) for r in ngramjoin.one_of_each(docs, 3, 8, 10).collect())
     assert kept[(7, TEXTS[0][1])] == 0 and kept[(1, TEXTS[0][1])] == 1 and kept[(2, None)] == 1 and kept[(8, TEXTS[8][1])] == 1 and kept[(8, TEXTS[-1][1])] == 1
