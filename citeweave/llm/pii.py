@@ -354,12 +354,14 @@ def find(texts: Sequence[str], model: Tagger | None) -> list[tuple[list[Span], l
     """Base and added spans of each text.
 
     Windows of all texts are tagged together. Each window's decoded spans are candidates
-    with the sum of their characters' surplus certainty as weight; those that touch an
-    inner edge are left to the next window, which holds them whole. Of all a text's candidates
+    with the sum of their characters' surplus certainty as weight. What touches an inner
+    edge, or windows disagree on, and is whole in no window is tagged again in a stretch around
+    it, which grows until it holds all of the span, however long. Of all a text's candidates
     that no base span overlaps, the set of greatest weight without overlaps is added.
     """
     base = [base_spans(t) if _SIGN.search(t) else [] for t in texts]
     candidates: list[dict[Span, float]] = [{} for _ in texts]
+    whole: list[list[tuple[int, int]]] = [[] for _ in texts]
     places = []
     for n, t in enumerate(texts):
         covered = np.zeros(len(t) + 1, bool)
@@ -371,30 +373,68 @@ def find(texts: Sequence[str], model: Tagger | None) -> list[tuple[list[Span], l
         for w in _windows(t) if len(open_signs) else ():
             if np.searchsorted(open_signs, w) < np.searchsorted(open_signs, w + WINDOW):
                 places.append((n, w))
-    for at in range(0, len(places) if model else 0, 512):
-        group = places[at : at + 512]
-        ids = np.full((len(group), WINDOW), _PAD, np.int64)
+
+    def tagged(group: Sequence[tuple[int, int]], width: int) -> list[tuple[int, int, int, int]]:
+        """Tag the stretches (text, start) of a width. Whole spans become candidates; returns (place in group, text, start, end) of those cut at an inner edge."""
+        ids = np.full((len(group), width), _PAD, np.int64)
         for i, (n, w) in enumerate(group):
-            piece = codes(texts[n][w : w + WINDOW])
+            piece = codes(texts[n][w : w + width])
             ids[i, : len(piece)] = piece
         e = model.emissions(ids)
         single, _, _ = model.marginals(e)
         tags = model.decode(e)
+        cut = []
         for i in np.flatnonzero((tags > 0).any(axis=1)):
             n, w = group[i]
             begins = np.flatnonzero(tags[i] % 2 == 1)
             for b in begins:
                 stop = b + 1
-                while stop < WINDOW and tags[i, stop] == tags[i, b] + 1:
+                while stop < width and tags[i, stop] == tags[i, b] + 1:
                     stop += 1
                 text = texts[n]
                 s, f = w + int(b), min(w + int(stop), len(text))
-                if b == 0 and w > 0 or stop == WINDOW and f < len(text):
+                if b == 0 and w > 0 or stop == width and f < len(text):
+                    cut.append((int(i), n, s, f))
                     continue
+                whole[n].append((s, f))
                 sure = single[i, np.arange(b, stop), tags[i, b:stop]]
                 kind = KINDS[(int(tags[i, b]) - 1) // 2]
                 if sure.mean() >= SURE and sure.min() >= LEAST and _plausible(kind, text[s:f], text[s - 1 : s] if s else "", text[f : f + 1]):
                     candidates[n][kind, s, f] = max(candidates[n].get((kind, s, f), 0.0), float((sure - 0.5).sum()))
+        return cut
+
+    cut: dict[int, list[tuple[int, int]]] = {}
+    for at in range(0, len(places) if model else 0, 512):
+        for _, n, s, f in tagged(places[at : at + 512], WINDOW):
+            cut.setdefault(n, []).append((s, f))
+    pending: list[tuple[int, int, int]] = []
+    for n in range(len(texts)):
+        joined: list[list[int]] = []
+        for s, f in sorted(whole[n] + cut.get(n, [])):
+            if joined and (s < joined[-1][1] or s == joined[-1][1] and s % STRIDE == 0):  # of one span, or the halves of two windows
+                joined[-1][1] = max(joined[-1][1], f)
+            else:
+                joined.append([s, f])
+        known = set(whole[n])
+        pending += [(n, s, f) for s, f in joined if (s, f) not in known and not any(s < e and b < f for _, b, e in base[n])]
+    margin = STRIDE
+    while pending:
+        widths: dict[int, list[tuple[int, int, int]]] = {}
+        for x in pending:
+            widths.setdefault(-(-(x[2] - x[1] + 2 * margin) // STRIDE) * STRIDE, []).append(x)
+        pending = []
+        for width, some in widths.items():
+            step = max(1, 512 * WINDOW // width)
+            for at in range(0, len(some), step):
+                group = some[at : at + step]
+                longer: dict[int, tuple[int, int, int]] = {}
+                for i, n, s, f in tagged([(n, max(0, s - margin)) for n, s, _ in group], width):
+                    _, first, last = group[i]
+                    if s < last and first < f:
+                        _, a, b = longer.get(i, group[i])
+                        longer[i] = (n, min(a, s), max(b, f))
+                pending += longer.values()
+        margin *= 2
     out = []
     for own, more in zip(base, candidates, strict=True):
         free = sorted((x for x in more if not any(x[1] < e and s < x[2] for _, s, e in own)), key=lambda x: (x[2], x))

@@ -359,6 +359,24 @@ def test_personal_data(spark, docs, empty):
     out = pii.masked_documents(docs)
     assert out.columns == docs.columns and Counter(r["doc_id"] for r in out.collect()) == Counter(i for i, _ in TEXTS)
 
+def test_long_spans_at_all_offsets():
+    """A long obfuscated address is found whole wherever it starts in the windows. The tagger is a stand-in that is sure of all it sees."""
+
+    class Sure(pii.Tagger):
+        def emissions(self, ids):
+            space, filler = ids == pii._CODES[" "], (ids == pii._CODES["z"]) | (ids == pii._PAD)
+            own = np.pad(~space & ~filler, ((0, 0), (1, 1)), constant_values=True)
+            own = own[:, 1:-1] | space & own[:, :-2] & own[:, 2:]
+            begin = own & ~np.pad(own, ((0, 0), (1, 0)))[:, :-1]
+            e = np.zeros((*ids.shape, pii.TAGS), np.float32)
+            e[..., 0], e[..., 1], e[..., 2] = 20 * ~own, 20 * begin, 20 * (own & ~begin)
+            return e
+
+    for address in ("ann_lee [at] mail [dot] com", "friederike_montgomery [at] mail4 [dot] example [dot] com", "friederike_montgomery [at] mailhost4 [dot] example [dot] research [dot] org", "a_b [at] mail" + 60 * " [dot] example" + " [dot] org"):
+        starts = [141 + offset for offset in range(pii.STRIDE)]
+        found = pii.find(["zz " * (s // 3) + "z" * (s % 3 - 1) + " " * (s % 3 > 0) + address + " zz" * 200 for s in starts], Sure(1))
+        assert [s % pii.STRIDE for s, (_, more) in zip(starts, found, strict=True) if ("email", s, s + len(address)) not in more] == [], len(address)
+
 
 def test_long_text_edges():
     model = None
