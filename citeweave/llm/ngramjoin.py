@@ -303,7 +303,8 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
     needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(many.select("node")).distinct()
     needed = staged(classes.join(needed, "node").select("node", "key", "low"))
     lows = sendable(needed.select(F.col("low").alias("id")).distinct())
-    sets = staged(whole_sets(texts.join(lows, "id", "left_semi"), n).join(needed.select("key", "node"), "key").groupBy("node").agg(F.first("shingles").alias("shingles")))
+    of_lows = texts.join(lows, "id", "left_semi").unionByName(texts.where("id is null"))  # classes without any id have their texts there
+    sets = staged(whole_sets(of_lows, n).join(needed.select("key", "node"), "key").groupBy("node").agg(F.first("shingles").alias("shingles")))
 
     both = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
     held = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"shingles_{c}"))

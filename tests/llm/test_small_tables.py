@@ -130,6 +130,14 @@ def test_ngram_join_large_group(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in got} == {k: (len(sets[k]), low[roots[k]], links[k]) for k, _ in texts}
 
 
+def test_ngram_join_null_ids(spark):
+    """Rows without an id are linked as others are; their ids count as largest."""
+    base = [f"w{i}" for i in range(40)]
+    texts = [(None, " ".join(base)), (5, " ".join([*base[:-1], "end"])), (None, " ".join(["start", *base[1:]])), (9, "other words of a text"), (None, "x y z"), (None, "x y z")]
+    got = ngramjoin.ngram_join(spark.createDataFrame(texts, "doc_id long, text string"), 3, 80, 100).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["class_id"], r["component_id"], r["n_links"]) for r in got) == Counter([(None, 38, None, 5, 2), (5, 38, 5, 5, 2), (None, 38, None, 5, 2), (9, 3, 9, 9, 0), (None, 1, None, None, 1), (None, 1, None, None, 1)])
+
+
 def test_one_of_each(docs):
     kept = Counter((r["doc_id"], r["text"]) for r in ngramjoin.one_of_each(docs, 3, 8, 10).collect())
     assert kept[(7, TEXTS[0][1])] == 0 and kept[(1, TEXTS[0][1])] == 1 and kept[(2, None)] == 1 and kept[(8, TEXTS[8][1])] == 1 and kept[(8, TEXTS[-1][1])] == 1
