@@ -18,6 +18,8 @@ al como con del el está las lo los más o pero por su sus y
 """.split()
 #: Content words in a chain.
 CHAIN = 2
+#: Ranges of ids that a task of with_next treats one after another.
+RANGES = 8
 
 
 def _bound(value: Column, body) -> Column:  # noqa: ANN001
@@ -32,23 +34,31 @@ def spots(text: Column, chain: int = CHAIN) -> Column:
     content words is a signature. A text without one (few words, or a language without
     these anchors) gets the chains of all its words instead, and one too short for those
     a single signature of all its words. A null text or one without words has none.
+
+    The k-th anchor, at word p, has p - k content words before it, so its chain is a
+    stretch of the array of content words: each word is looked up twice, whatever the
+    number of anchors.
     """
-    common = "(?:" + "|".join(sorted(set(ANCHORS), key=lambda w: (-len(w), w))) + ") "
-    spot = f"(?<= )(?=({common}" + f"(?:{common})*+[^ ]+ " * chain + "))"
-    every = "(?<= )(?=(" + "[^ ]+ " * (chain + 1) + "))"
+    anchors = sorted(set(ANCHORS))
+
+    def chains(words: Column, heads: Column, others: Column) -> Column:
+        """Of each head (a position among words, the k-th one) the hash of it and the chain of others after it, where they are enough."""
+        signature = lambda p, k: F.xxhash64(F.get(words, p), *[F.get(others, p - k + j) for j in range(chain)])
+        return F.array_compact(F.transform(heads, lambda p, k: F.when(p - k + chain <= F.size(others), signature(p, k))))
 
-    def found(words: Column, pattern: str) -> Column:
-        return F.regexp_extract_all(words, F.lit(pattern), F.lit(1))
+    def anchored(words: Column) -> Column:
+        heads = F.array_compact(F.transform(words, lambda w, i: F.when(w.isin(anchors), i)))
+        return _bound(F.filter(words, lambda w: ~w.isin(anchors)), lambda others: chains(words, heads, others))
 
     def fallback(words: Column) -> Column:
-        whole = F.when(words.rlike("[^ ]"), F.array(F.xxhash64(F.trim(words)))).otherwise(F.array().cast("array<bigint>"))
-        return _bound(F.transform(found(words, every), lambda s: F.xxhash64(s)), lambda a: F.when(F.size(a) > 0, a).otherwise(whole))
+        every = F.array_compact(F.transform(words, lambda w, i: F.when(i + chain < F.size(words), F.xxhash64(*[F.get(words, i + j) for j in range(chain + 1)]))))
+        whole = F.when(F.size(words) > 0, F.array(F.xxhash64(words))).otherwise(F.array().cast("array<bigint>"))
+        return _bound(every, lambda a: F.when(F.size(a) > 0, a).otherwise(whole))
 
     def of(words: Column) -> Column:
-        anchored = F.transform(found(words, spot), lambda s: F.xxhash64(F.regexp_replace(s, f"(?<= ){common}", "")))
-        return _bound(anchored, lambda a: F.when(F.size(a) > 0, a).otherwise(fallback(words)))
+        return _bound(anchored(words), lambda a: F.when(F.size(a) > 0, a).otherwise(fallback(words)))
 
-    words = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     return F.sort_array(F.array_distinct(_bound(words, of)))
 
 
@@ -71,7 +81,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     in order of their texts; null ids come first.
     """
     spark = docs.sparkSession
-    bounds = range_bounds(docs, "doc_id", 16 * shuffle_partitions(spark))
+    parts = shuffle_partitions(spark)
+    bounds = range_bounds(docs, "doc_id", RANGES * parts)
     low, nulls = docs.agg(F.min("doc_id"), F.count(F.when(F.col("doc_id").isNull(), 1))).first()
     own = bucket_of(F.col("doc_id"), bounds)
     is_bound = F.coalesce(F.array_contains(F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>"), F.col("doc_id").cast("bigint")), F.lit(False)) if bounds else F.lit(False)
@@ -83,10 +94,11 @@ def with_next(docs: DataFrame) -> DataFrame:
             F.when(is_first, F.struct(F.lit(len(bounds)).alias("bucket"), F.lit(1).alias("copy"))),
         )
     )
-    dealt = docs.withColumn("at", F.explode(places)).select("doc_id", "text", "at.*").repartition(shuffle_partitions(spark), "bucket")
-    ordered = dealt.sortWithinPartitions("bucket", "copy", F.col("doc_id").asc_nulls_first(), "text").withColumn("spots", spots(F.col("text")))
-    following = Window.partitionBy("bucket").orderBy("copy", F.col("doc_id").asc_nulls_first(), "text")
-    return ordered.withColumn("next_text", F.lead("text").over(following)).withColumn("next_spots", F.lead("spots").over(following)).where("copy = 0").drop("bucket", "copy")
+    dealt = docs.withColumn("at", F.explode(places)).select("doc_id", "text", "at.*").withColumn("part", F.expr(f"bucket div {RANGES}").cast("int")).repartitionById(parts, "part")
+    order = ["part", "bucket", "copy", F.col("doc_id").asc_nulls_first(), "text"]
+    ordered = dealt.sortWithinPartitions(*order).withColumn("spots", spots(F.col("text")))
+    following = Window.partitionBy("part", "bucket").orderBy(*order[2:])
+    return ordered.withColumn("next_text", F.lead("text").over(following)).withColumn("next_spots", F.lead("spots").over(following)).where("copy = 0").drop("part", "bucket", "copy")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
