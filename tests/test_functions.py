@@ -1,7 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from citeweave.functions import doi as D
+from citeweave.functions import patterns as P
 from citeweave.functions import predicates as Q
 from citeweave.functions import text as T
 from citeweave.operators.aggregates import merge_spans
@@ -19,7 +22,7 @@ def check(spark, function, cases):
 
 
 PREDICATES = [
-    (Q.is_government, [("Prop. 2001/02:123", True), ("SOU (1999:12)", True), ("sfs 2000:1234", True), ("Ds 2010:5 text", True), ("see Prop. 2001/02:1", False), ("Prop. 1850/51:1", False), (None, False), ("", False)]),
+    (Q.is_government, [("Prop. 2001/02:123", True), ("SOU (1999:12)", True), ("sfs 2000:1234", True), ("SOU:1999:12", True), ("SOU 1999:1234", True), ("Prop.2001/02:1234", True), ("Proposition 2001/02:1", True), ("Prop 2001/02:1", False), ("SOU1999:12", False), ("Ds 1899:5", False), ("Ds 2031:5", False), ("Ds 2010:5 text", True), ("see Prop. 2001/02:1", False), ("Prop. 1850/51:1", False), (None, False), ("", False)]),
     (Q.is_ui_timestamp, [("2003/04/05 12:30 Page 3 #4", True), ("2003/04/05 Page 3 #4", False), (None, False)]),
     (Q.is_cid, [(" (CID: 12) ", True), ("x (cid:1)", False)]),
     (Q.is_hyphen_only, [("- – —", True), ("-a", False), ("", False)]),
@@ -38,6 +41,14 @@ PREDICATES = [
 ]
 
 
+def test_pattern_parts():
+    """Ranges of numbers hold just their numbers; stop tokens are all there."""
+    for low, high in (("1750", "2030"), ("1900", "2030"), ("01", "12"), ("01", "31"), ("0", "9"), ("17", "17"), ("099", "201")):
+        got = re.compile(P.numbers(low, high))
+        assert [n for n in range(10 ** len(low)) if got.fullmatch(f"{n:0{len(low)}}")] == list(range(int(low), int(high) + 1))
+    assert len(set(P.STOP_TOKENS)) == 39 and {"ARTICLES I-VI", "Bilaga 1", "PART II"} <= set(P.stop_tokens())
+
+
 @pytest.mark.parametrize("predicate, cases", PREDICATES, ids=lambda x: getattr(x, "__name__", ""))
 def test_predicates(spark, predicate, cases):
     check(spark, predicate, cases)
