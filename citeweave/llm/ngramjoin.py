@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -12,21 +13,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citeweave.llm.components import components
-from citeweave.llm.hashing import SPACES, Buffer, buffers, mixed
-from citeweave.llm.shared import documents, staged
+from citeweave.llm.hashing import SPACES, Buffer, chunks, mixed, summed
+from citeweave.llm.shared import documents, map_batches, staged
 
 #: Counters of the frequency sketch: rows, and counters in each (a power of two).
 SKETCH_ROWS, SKETCH_WIDTH = 2, 1 << 18
-#: Counters that travel as one row, and tasks whose counters are first added up together.
-SKETCH_PART, SKETCH_FAN = 4096, 128
 #: Parts of a set that the suffix filter counts.
 SUFFIX_PARTS = 64
-#: Sets that meet at one n-gram are compared pair by pair up to this many, and in blocks of about as many beyond.
+#: Sets that meet at one n-gram are paired there up to this many, and compared in blocks of about as many beyond.
 BLOCK = 256
+#: Shingles that a task verifying pairs, or one block of sets, holds at about; a single longer set is held whole.
+SHINGLES = 1 << 18
 #: An n-gram is frequent if its estimate is over this many times the sketch's mean; others' groups are surely small.
 FREQUENT = 4
-#: Ids that are sent to all workers at most; more are joined by shuffling the texts.
+#: Numbers (ids and the jobs they are needed in) that are sent to all workers at most; more are joined by shuffling the texts.
 MOST_SENT = 1_000_000
+#: Kinds of jobs: of many small groups of pairs, of two blocks of a large one, of two blocks of a cluster of frequent n-grams.
+SMALL, LARGE, MANY = 0, 1, 2
 _STEP = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -62,10 +65,6 @@ def _slots(h: np.ndarray) -> list[np.ndarray]:
     return [((h >> np.uint64(20 * r)) & np.uint64(SKETCH_WIDTH - 1)).astype(np.int64) for r in range(SKETCH_ROWS)]
 
 
-def _texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
-    return [t or b"" for t in batch.column(column).cast(pa.large_binary()).to_pylist()]
-
-
 def frequency_sketch(texts: DataFrame, n: int) -> np.ndarray:
     """Count-min sketch of how many texts hold each shingle, over all of them.
 
@@ -73,29 +72,10 @@ def frequency_sketch(texts: DataFrame, n: int) -> np.ndarray:
     any order gives the same result.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((SKETCH_ROWS, SKETCH_WIDTH), np.int64)
-        for batch in batches:
-            for _, b in buffers(_texts(batch, "text")):
-                for r, at in enumerate(_slots(shingle_sets(b, n)[1])):
-                    counts[r] += np.bincount(at, minlength=SKETCH_WIDTH)
-        if counts.any():
-            small = counts.astype(np.int32 if counts.max() < 2**31 else np.int64)
-            parts = small.reshape(-1, SKETCH_PART)
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([p.astype(np.int64).tobytes() if p.dtype != np.int32 else p.tobytes() for p in parts], pa.binary())], ["part", "counts"])
-
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(SKETCH_PART, np.int64)
-        for c in group["counts"]:
-            total += np.frombuffer(c, np.int32 if len(c) == 4 * SKETCH_PART else np.int64)
-        return pd.DataFrame({"part": group["part"].iloc[:1], "counts": [total.tobytes()]})
-
-    per_task = texts.select("text").mapInArrow(run, "part int, counts binary").withColumn("fan", F.expr(f"spark_partition_id() div {SKETCH_FAN}"))
-    summed = per_task.groupBy("part", "fan").applyInPandas(add, "part int, counts binary").groupBy("part").applyInPandas(add, "part int, counts binary")
-    out = np.zeros((SKETCH_ROWS * SKETCH_WIDTH // SKETCH_PART, SKETCH_PART), np.int64)
-    for part, counts in summed.collect():  # SKETCH_ROWS * SKETCH_WIDTH numbers
-        out[part] = np.frombuffer(counts, np.int64)
-    return out.reshape(SKETCH_ROWS, SKETCH_WIDTH)
+    def count(b: Buffer) -> np.ndarray:
+        return np.concatenate([np.bincount(at, minlength=SKETCH_WIDTH) for at in _slots(shingle_sets(b, n)[1])])
+
+    return summed(texts.select("text"), lambda batch: (count(b) for _, b in chunks(batch)), SKETCH_ROWS * SKETCH_WIDTH).reshape(SKETCH_ROWS, SKETCH_WIDTH)
 
 
 def set_keys(texts: DataFrame, n: int) -> DataFrame:
@@ -103,15 +83,17 @@ def set_keys(texts: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys = [], []
-            for _, b in buffers(_texts(batch, "text")):
+            for part, b in chunks(batch):
                 o, h = shingle_sets(b, n)
                 cuts = np.searchsorted(o, np.arange(b.count + 1))
-                sizes += np.diff(cuts).tolist()
-                keys += [_digest(h[cuts[i] : cuts[i + 1]]) for i in range(b.count)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary())], ["id", "n", "key"])
+                keys = [_digest(h[cuts[i] : cuts[i + 1]]) for i in range(b.count)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(cuts), pa.int64()), pa.array(keys, pa.binary())], ["id", "n", "key"])
 
-    return texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, n long, key binary")
+    return map_batches(texts, run, f"id {texts.schema['id'].dataType.simpleString()}, n long, key binary")
+
+
+def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(values))
 
 
 def _digest(s: np.ndarray) -> bytes | None:
@@ -126,57 +108,50 @@ def signatures(texts: DataFrame, n: int, num: int, den: int, sketch: np.ndarray)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = shared.value
         for batch in batches:
-            raw = _texts(batch, "text")
-            sizes, keys, prefix, lengths, parts, rare = [], [], [], [], [], []
-            for _, b in buffers(raw):
+            for part, b in chunks(batch):
                 o, h = shingle_sets(b, n)
-                count = np.bincount(o, minlength=b.count) if len(o) else np.zeros(b.count, np.int64)
-                cuts = np.concatenate([[0], np.cumsum(count)])
+                size = np.bincount(o, minlength=b.count) if len(o) else np.zeros(b.count, np.int64)
+                cuts = np.concatenate([[0], np.cumsum(size)])
                 rarity = np.minimum.reduce([seen[r][at] for r, at in enumerate(_slots(h))])
                 order = np.lexsort((h, rarity, o))
-                parts.append(np.bincount(o * SUFFIX_PARTS + (h >> np.uint64(58)).astype(np.int64), minlength=b.count * SUFFIX_PARTS) if len(o) else np.zeros(b.count * SUFFIX_PARTS, np.int64))
-                ranked, common = h[order], rarity[order] > frequent
-                for i in range(b.count):
-                    s = h[cuts[i] : cuts[i + 1]]
-                    keys.append(_digest(s))
-                    take = len(s) + (num * len(s) // -den) + 1 if len(s) else 0  # n - ceil(t * n) + 1
-                    prefix.append(ranked[cuts[i] : cuts[i] + take])
-                    lengths.append(take)
-                    rare.append(take - int(common[cuts[i] : cuts[i] + take].sum()))
-                sizes.append(count)
-            rows = len(raw)
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            flat = np.concatenate(prefix).view(np.int64) if rows else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"), pa.array(np.concatenate(sizes) if rows else [], pa.int64()), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                    pa.ListArray.from_arrays(pa.array((np.arange(rows + 1) * SUFFIX_PARTS).astype(np.int32)), pa.array((np.concatenate(parts) if rows else np.zeros(0)).astype(np.int32))),
-                    pa.array(rare, pa.int64()),
-                ],
-                ["id", "n", "key", "prefix", "parts", "rare"],
-            )
-
-    return texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, n long, key binary, prefix array<long>, parts array<int>, rare long")
+                parts = np.bincount(o * SUFFIX_PARTS + (h >> np.uint64(58)).astype(np.int64), minlength=b.count * SUFFIX_PARTS) if len(o) else np.zeros(b.count * SUFFIX_PARTS, np.int64)
+                take = np.where(size > 0, size + num * size // -den + 1, 0)  # n - ceil(t * n) + 1
+                place = np.arange(len(o)) - cuts[o]
+                first = place < take[o]
+                common = np.bincount(o[first], rarity[order][first] > frequent, b.count) if len(o) else np.zeros(b.count)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("id"), pa.array(size, pa.int64()), pa.array([_digest(h[cuts[i] : cuts[i + 1]]) for i in range(b.count)], pa.binary()), _lists(h[order][first].view(np.int64), take),
+                        _lists(parts.astype(np.int32), np.full(b.count, SUFFIX_PARTS)), pa.array(take - common.astype(np.int64), pa.int64()),
+                    ],
+                    ["id", "n", "key", "prefix", "parts", "rare"],
+                )
+
+    return map_batches(texts, run, f"id {texts.schema['id'].dataType.simpleString()}, n long, key binary, prefix array<long>, parts array<int>, rare long")
 
 
 def whole_sets(texts: DataFrame, n: int) -> DataFrame:
-    """key and shingles of each text."""
+    """node, jobs and shingles of each text (key, node, jobs, text) whose set has that key (any, if null); digest is the set's key. A node comes once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
         for batch in batches:
-            keys, sets = [], []
-            for _, b in buffers(_texts(batch, "text")):
+            for part, b in chunks(batch):
                 o, h = shingle_sets(b, n)
                 cuts = np.searchsorted(o, np.arange(b.count + 1))
+                keys, nodes = part.column("key").to_pylist(), part.column("node").to_pylist()
+                digests = [_digest(h[cuts[i] : cuts[i + 1]]) for i in range(b.count)]
+                kept = []
                 for i in range(b.count):
-                    s = h[cuts[i] : cuts[i + 1]]
-                    keys.append(_digest(s))
-                    sets.append(s)
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["key", "shingles"])
+                    if nodes[i] is None or keys[i] == digests[i] and nodes[i] not in sent:
+                        kept.append(i)
+                        sent.add(nodes[i])
+                rows = part.take(pa.array(kept, pa.int64()))
+                flat = np.concatenate([h[cuts[i] : cuts[i + 1]] for i in kept]).view(np.int64) if kept else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([rows.column("node"), rows.column("jobs"), pa.array([digests[i] for i in kept], pa.binary()), _lists(flat, np.array([cuts[i + 1] - cuts[i] for i in kept], np.int64))], ["node", "jobs", "digest", "shingles"])
 
-    return texts.select("text").mapInArrow(run, "key binary, shingles array<long>")
+    fields = f"node long, jobs {texts.schema['jobs'].dataType.simpleString()}, digest binary, shingles array<long>"
+    return map_batches(texts.select("key", "node", "jobs", "text"), run, fields)
 
 
 def overlaps(left: Sequence[np.ndarray], right: Sequence[np.ndarray], rests: tuple[Sequence[np.ndarray], Sequence[np.ndarray]] | None = None, wanted: np.ndarray | None = None) -> np.ndarray:
@@ -203,22 +178,20 @@ def overlaps(left: Sequence[np.ndarray], right: Sequence[np.ndarray], rests: tup
     return out
 
 
-def block_links(group: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """Links between the sets of two blocks of a cluster of frequent n-grams.
+def block_links(group: pd.DataFrame, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the linked pairs of two blocks of a cluster of frequent n-grams.
 
     A pair is treated here only if no n-gram that few sets meet makes it a candidate
     elsewhere, and this is the first cluster of both. The first n-gram of both may be a
     frequent one, so one of few sets counts only where the positional filter lets the pair
-    through. Returns, per set with links, the copies it is linked with, and edges that
-    connect what is linked.
+    through.
     """
-    cluster, one, two = (group[c].iloc[0] for c in ("cluster", "low_block", "high_block"))
-    group = group.reset_index(drop=True)
+    cluster, one, two = (group[c].iloc[0] for c in ("cluster", "low", "high"))
     left = np.flatnonzero(group["block"] == one)
     right = left if one == two else np.flatnonzero(group["block"] == two)
     lists = {c: [np.asarray(v if v is not None else [], np.int64) for v in group[c]] for c in ("shingles", "clusters", "met", "rest")}
     lists["clusters"] = [v[v < cluster] for v in lists["clusters"]]
-    size, copies = group["n"].to_numpy(np.int64), group["copies"].to_numpy(np.int64)
+    size = group["n"].to_numpy(np.int64)
     of = lambda c, rows: [lists[c][i] for i in rows]
     both, total = overlaps(of("shingles", left), of("shingles", right)), size[left][:, None] + size[right][None, :]
     linked = den * both >= num * (total - both)
@@ -227,10 +200,37 @@ def block_links(group: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
         linked &= (elsewhere == 0) & (overlaps(of("clusters", left), of("clusters", right)) == 0)
     if one == two:
         linked = np.triu(linked, 1)
-    degree = np.zeros(len(group), np.int64)
-    np.add.at(degree, left, linked @ copies[right])
-    np.add.at(degree, right, linked.T @ copies[left])
-    parent = list(range(len(group)))
+    i, j = np.nonzero(linked)
+    return left[i], right[j]
+
+
+def listed_links(group: pd.DataFrame, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the linked ones among the listed pairs: each set with its partners."""
+    place = {int(x): i for i, x in enumerate(group["node"])}
+    sets, ones, twos = [np.asarray(v, np.int64).view(np.uint64) for v in group["shingles"]], [], []
+    for i, partners in enumerate(group["partners"]):
+        if partners is None or not len(partners) or not len(sets[i]):
+            continue
+        at = np.array([place[int(x)] for x in partners])
+        values, lengths = np.concatenate([sets[k] for k in at]), np.array([len(sets[k]) for k in at])
+        hit = sets[i][np.minimum(np.searchsorted(sets[i], values), len(sets[i]) - 1)] == values
+        both = np.bincount(np.repeat(np.arange(len(at)), lengths)[hit], minlength=len(at))
+        linked = at[den * both >= num * (lengths + len(sets[i]) - both)]
+        ones.append(np.full(len(linked), i))
+        twos.append(linked)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *ones]), np.concatenate([none, *twos])
+
+
+def job_links(jobs: pd.DataFrame, sets: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """Links among the sets of one job: per set with links the copies it is linked with, and edges that connect what is linked."""
+    group = jobs.merge(sets[["node", "shingles"]].drop_duplicates("node"), on="node")
+    if not len(group):
+        return pd.DataFrame({"a": [], "b": [], "links": []}, dtype=np.int64)
+    ones, twos = (listed_links if group["kind"].iloc[0] < MANY else block_links)(group, num, den)
+    copies, degree, parent = group["copies"].to_numpy(np.int64), np.zeros(len(group), np.int64), list(range(len(group)))
+    np.add.at(degree, ones, copies[twos])
+    np.add.at(degree, twos, copies[ones])
 
     def root(x: int) -> int:
         while parent[x] != x:
@@ -238,18 +238,43 @@ def block_links(group: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
             x = parent[x]
         return x
 
-    for i, j in zip(*np.nonzero(linked), strict=True):
-        a, b = root(int(left[i])), root(int(right[j]))
+    for i, j in zip(ones.tolist(), twos.tolist(), strict=True):
+        a, b = root(i), root(j)
         if a != b:
             parent[max(a, b)] = min(a, b)
-    out = [(int(group["node"][i]), int(group["node"][root(int(i))]), int(degree[i])) for i in np.flatnonzero(degree)]
-    return pd.DataFrame(out, columns=["a", "b", "links"])
+    linked, nodes = np.flatnonzero(degree), group["node"].to_numpy(np.int64)
+    return pd.DataFrame({"a": nodes[linked], "b": nodes[[root(int(i)) for i in linked]], "links": degree[linked]}, dtype=np.int64)
 
 
-def sendable(ids: DataFrame) -> DataFrame:
-    """ids marked to be sent to all workers if they are counted to be few enough; else left to a shuffled join."""
+def sendable(ids: DataFrame, size: str = "1") -> DataFrame:
+    """Rows of size numbers each, marked to be sent to all workers if they are counted to be few enough; else left to a shuffled join."""
     ids = staged(ids)
-    return F.broadcast(ids) if ids.count() <= MOST_SENT else ids
+    return F.broadcast(ids) if (ids.agg(F.sum(F.expr(size))).first()[0] or 0) <= MOST_SENT else ids
+
+
+def pair_jobs(pairs: DataFrame) -> DataFrame:
+    """Deal candidate pairs (a, b, n_a, n_b) to jobs: kind, cluster, low, high, node, block, n, partners.
+
+    A pair is at home with the least partner of its first set, so a group whose sets are
+    all candidates of each other has one home and each of its sets one place. Small homes are put
+    together into jobs of about SHINGLES; a larger home is cut into blocks, and every two
+    blocks are a job.
+    """
+    ends = pairs.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("node"), F.col("a").alias("other")))
+    near = ends.groupBy(F.col("node").alias("a")).agg(F.min("other").alias("home"))
+    homed = staged(pairs.join(near, "a").withColumn("home", F.least("a", "home")).select("home", "a", "b", "n_a", "n_b"))
+    members = homed.select("home", F.col("a").alias("node"), F.col("n_a").alias("n")).unionByName(homed.select("home", F.col("b").alias("node"), F.col("n_b").alias("n"))).distinct()
+    homes = staged(members.groupBy("home").agg(F.sum("n").alias("n")).withColumn("blocks", F.ceil(F.col("n") / SHINGLES).cast("int")))
+    buckets = math.ceil((homes.where("blocks = 1").agg(F.sum("n")).first()[0] or 0) / SHINGLES) or 1
+    place = lambda c: F.pmod(F.xxhash64(c, "home"), F.col("blocks")).cast("int")
+    small = F.col("blocks") == 1
+    dealt = homed.join(homes.select("home", "blocks"), "home").select(
+        F.when(small, SMALL).otherwise(LARGE).alias("kind"), F.when(small, F.pmod(F.xxhash64("home"), F.lit(buckets))).otherwise(F.col("home")).alias("cluster"),
+        F.least(place("a"), place("b")).alias("low"), F.greatest(place("a"), place("b")).alias("high"), "a", "b", "n_a", "n_b",
+    )
+    job = ["kind", "cluster", "low", "high"]
+    both = dealt.select(*job, F.col("a").alias("node"), F.col("n_a").alias("n"), F.col("b").alias("partner")).unionByName(dealt.select(*job, F.col("b").alias("node"), F.col("n_b").alias("n"), F.lit(None).cast("long").alias("partner")))
+    return both.groupBy(*job, "node", "n").agg(F.collect_list("partner").alias("partners")).withColumn("block", F.lit(0))
 
 
 def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
@@ -294,37 +319,34 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
         b,
         (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & F.expr(f"least(a.n, b.n) * {den} >= greatest(a.n, b.n) * {num}") & (F.expr("least(a.n - a.pos, b.n - b.pos)") >= wanted),
     ).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("parts").alias(f"parts_{c}"), F.col("copies").alias(f"copies_{c}"))
+    side = lambda c: classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("parts").alias(f"parts_{c}"))
     most = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(most * den >= num * (F.col("n_a") + F.col("n_b") - most)).select("a", "b", "n_a", "n_b", "copies_a", "copies_b")
-    pairs = staged(pairs)
-
-    many = met.where(F.col("sets") > block)
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(many.select("node")).distinct()
-    needed = staged(classes.join(needed, "node").select("node", "key", "low"))
-    lows = sendable(needed.select(F.col("low").alias("id")).distinct())
-    of_lows = texts.join(lows, "id", "left_semi").unionByName(texts.where("id is null"))  # classes without any id have their texts there
-    sets = staged(whole_sets(of_lows, n).join(needed.select("key", "node"), "key").groupBy("node").agg(F.first("shingles").alias("shingles")))
-
-    both = F.size(F.array_intersect("shingles_a", "shingles_b")).cast("long")
-    held = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"shingles_{c}"))
-    verified = pairs.join(held("a"), "a").join(held("b"), "b").withColumn("both", both).where(F.col("both") * den >= num * (F.col("n_a") + F.col("n_b") - F.col("both")))
-    found = verified.select("a", "b", "copies_a", "copies_b")
+    pairs = staged(pairs.join(side("a"), "a").join(side("b"), "b").where(most * den >= num * (F.col("n_a") + F.col("n_b") - most)).select("a", "b", "n_a", "n_b"))
 
     # Frequent n-grams met by nearly the same sets get one cluster: that of the least of the sets by hash.
+    many = met.where(F.col("sets") > block)
     groups = many.groupBy("token").agg(F.min(F.xxhash64("node")).alias("cluster"))
-    clustered = staged(many.join(groups, "token").select("cluster", "node").distinct())
-    in_many = clustered.groupBy("node").agg(F.collect_list("cluster").alias("clusters"))
+    clustered = staged(many.join(groups, "token").select("cluster", "node", "n").distinct())
+    in_many = clustered.groupBy("node", "n").agg(F.collect_list("cluster").alias("clusters"))
     other_met = few.join(in_many.select("node"), "node", "left_semi").groupBy("node").agg(F.collect_list(F.struct("token", (F.col("n") - F.col("pos")).cast("int").alias("rest"))).alias("met")).select("node", F.col("met.token").alias("met"), F.col("met.rest").alias("rest"))
-    of_many = staged(in_many.join(other_met, "node", "left").join(sets, "node").join(classes.select("node", "n", "copies"), "node"))
-    blocks = clustered.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    blocks = clustered.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / SHINGLES)).cast("int").alias("blocks"))
     dealt = clustered.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("node", "cluster"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("cluster", "node", "block", F.least("block", "other").alias("low_block"), F.greatest("block", "other").alias("high_block")).join(of_many, "node")
-    in_blocks = dealt.groupBy("cluster", "low_block", "high_block").applyInPandas(lambda g: block_links(g, num, den), "a long, b long, links long")
-
-    links = staged(
-        found.select("a", "b", F.col("copies_b").alias("links")).unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("copies_a").alias("links"))).unionByName(in_blocks)
-    )
+    dealt = dealt.select(F.lit(MANY).alias("kind"), "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "n", "block").join(in_many.drop("n").join(other_met, "node", "left"), "node")
+
+    # Every set goes to its jobs straight from its text.
+    job = ["kind", "cluster", "low", "high"]
+    jobs = staged(pair_jobs(pairs).unionByName(dealt, allowMissingColumns=True).join(classes.select("node", "copies"), "node"))
+    needed = jobs.groupBy("node").agg(F.collect_list(F.struct(*job)).alias("jobs")).join(classes.select("node", "key", "low"), "node")
+    by_id = sendable(needed.where("low is not null").withColumnRenamed("low", "id"), "3 + 4 * size(jobs)")
+    sets = whole_sets(texts.join(by_id, "id"), n).drop("digest")
+    lost = staged(needed.where("low is null"))
+    if not lost.isEmpty():  # classes without any id: found by their sets
+        plain = texts.where("id is null").select("text", F.lit(None).cast("binary").alias("key"), F.lit(None).cast("long").alias("node"), F.lit(None).cast(lost.schema["jobs"].dataType).alias("jobs"))
+        own = whole_sets(plain, n).select(F.col("digest").alias("key"), "shingles").join(lost.select("key", "node", "jobs"), "key")
+        sets = sets.unionByName(own.select("node", "jobs", "shingles"))
+    sets = sets.withColumn("job", F.explode("jobs")).select("job.*", "node", "shingles")
+    run = lambda own, held: job_links(own, held, num, den)
+    links = staged(jobs.groupBy(*job).cogroup(sets.groupBy(*job)).applyInPandas(run, "a long, b long, links long"))
     roots = components(links.select("a", "b"))
     nodes = roots.join(classes.select("node", "low"), "node")
     lowest = nodes.groupBy("root").agg(F.min("low").alias("component_id"))

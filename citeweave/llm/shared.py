@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+#: Rows of an Arrow batch of texts.
+ROWS, BATCH_ROWS = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: White space of the word contracts: space and the controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -22,13 +27,25 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def stage_dir(spark: SparkSession) -> str:
-    """A folder that driver and executors share: the cluster's checkpoint folder, else (tests) one of our own."""
+    """A folder that driver and executors share: that of spark.checkpoint.dir. Only a session of one process (tests) may do without."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="citeweave-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="citeweave-"))
     return sc.getCheckpointDir()
 
 
+def clear_stages(spark: SparkSession) -> None:
+    """Delete what this application has staged. Results that are not written yet can't be read any more."""
+    if spark.sparkContext.getCheckpointDir():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{spark.sparkContext.getCheckpointDir()}/stage-*")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for found in files.globStatus(path) or []:
+            files.delete(found.getPath(), True)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
@@ -40,6 +57,18 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """df.mapInArrow with batches of ROWS rows, unless the session asks for another number than Spark's own.
+
+    Texts are long: Spark's 10,000 rows a batch may be hundreds of MB outside the heap, in
+    the executor and in its Python workers, for each task.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_ROWS) == "10000":
+        conf.set(BATCH_ROWS, ROWS)
+    return df.mapInArrow(run, schema)
+
+
 def range_bounds(df: DataFrame, column: str, buckets: int) -> list[int]:
     """At most buckets-1 values of an integer column that cut its rows into near-equal ranges.
 
