@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeweave.llm import nnpu
-from citeweave.llm.hashing import NEWLINES, NOT_ALNUM, SPACES, Buffer, buffers
-from citeweave.llm.shared import documents
+from citeweave.llm.hashing import NEWLINES, NOT_ALNUM, SPACES, Buffer, buffers, chunks, stretches, summed
+from citeweave.llm.shared import documents, map_batches
 
-#: Rows that a classifier is fitted on at most: of each label, and unlabelled.
+#: Rows that a classifier is fitted on at most: positives, and unlabelled ones.
 LABELLED, UNLABELLED = 3000, 9000
 THRESHOLD = 0.3
 
@@ -67,8 +67,10 @@ def shape_features(b: Buffer) -> np.ndarray:
 
 # ---- toxicity: words and word beginnings -----------------------------------------
 
-#: Hashed features, lengths of word beginnings, and features kept after selection.
-SPACE, BEGINNINGS, KEPT = 1 << 24, (4, 5, 6), 1500
+#: Hashed features, lengths of word beginnings in bytes, features counted over the corpus, and features kept at most.
+SPACE, BEGINNINGS, CANDIDATES, KEPT = 1 << 24, (3, 4, 5, 6), 1 << 14, 1500
+#: Of these least significances and weight decays the pair of least risk on rows apart is taken.
+LEAST, DECAYS = (1.5, 3, 5, 6), (1e-2, 1e-3)
 
 
 def word_features(b: Buffer) -> list[np.ndarray]:
@@ -87,35 +89,59 @@ def word_features(b: Buffer) -> list[np.ndarray]:
     return [ids[cuts[i] : cuts[i + 1]] for i in range(b.count)]
 
 
-def select(sets: list[np.ndarray], positive: np.ndarray, kept: int = KEPT) -> np.ndarray:
-    """The features whose share among the positives is most significantly over that among the rest."""
-    one = [s for s, p in zip(sets, positive, strict=True) if p]
-    rest = [s for s, p in zip(sets, positive, strict=True) if not p]
-    if not one:
+def significance(seen: np.ndarray, ones: int, often: np.ndarray, rest: int) -> np.ndarray:
+    """How many standard deviations the share of the positives with a feature is over that of the rest."""
+    pooled = (seen + often + 1) / (ones + rest + 2)
+    return (seen / max(1, ones) - often / max(1, rest)) / np.sqrt(pooled * (1 - pooled) * (1 / max(1, ones) + 1 / max(1, rest)) + 1e-12)
+
+
+def counted(sets: list[np.ndarray], ids: np.ndarray) -> np.ndarray:
+    """How many sets hold each of the sorted ids."""
+    if not len(ids) or not sets:
+        return np.zeros(len(ids), np.int64)
+    found = np.concatenate(sets)
+    at = np.minimum(np.searchsorted(ids, found), len(ids) - 1)
+    return np.bincount(at[ids[at] == found], minlength=len(ids))
+
+
+def candidates(positive: list[np.ndarray], rest: list[np.ndarray]) -> np.ndarray:
+    """Sorted ids of the features of two positives or more; the CANDIDATES most significant ones in the samples."""
+    if not positive:
         return np.zeros(0, np.uint32)
-    ids, seen = np.unique(np.concatenate(one), return_counts=True)
+    ids, seen = np.unique(np.concatenate(positive), return_counts=True)
     ids, seen = ids[seen >= 2], seen[seen >= 2]
-    others, often = np.unique(np.concatenate(rest), return_counts=True) if rest else (np.zeros(0, np.uint32), np.zeros(0))
-    at = np.minimum(np.searchsorted(others, ids), max(0, len(others) - 1))
-    base = np.where(others[at] == ids, often[at], 0) if len(others) else np.zeros(len(ids))
-    p, q = seen / len(one), base / max(1, len(rest))
-    pooled = (seen + base + 1) / (len(one) + len(rest) + 2)
-    z = (p - q) / np.sqrt(pooled * (1 - pooled) * (1 / len(one) + 1 / max(1, len(rest))) + 1e-12)
-    best = np.argsort(-z, kind="stable")[:kept]
-    return np.sort(ids[best[z[best] > 4]])
-
-
-def presence(sets: list[np.ndarray], vocabulary: np.ndarray) -> np.ndarray:
-    """0/1 matrix of the selected features, with their number and the log of all features last."""
-    out = np.zeros((len(sets), len(vocabulary) + 2), np.float32)
-    for i, s in enumerate(sets):
-        if len(vocabulary) and len(s):
-            at = np.minimum(np.searchsorted(vocabulary, s), len(vocabulary) - 1)
-            hit = at[vocabulary[at] == s]
-            out[i, hit] = 1
-            out[i, -2] = np.log1p(len(hit))
-        out[i, -1] = np.log1p(len(s))
-    return out
+    z = significance(seen, len(positive), counted(rest, ids), len(rest))
+    return np.sort(ids[np.argsort(-z, kind="stable")[:CANDIDATES]])
+
+
+@dataclass
+class Vocabulary:
+    """Features that mark positives, with the logarithm of how much likelier positives have them."""
+
+    ids: np.ndarray
+    weight: np.ndarray
+
+    @staticmethod
+    def of(positive: list[np.ndarray], ids: np.ndarray, often: np.ndarray, rest: int, least: float) -> Vocabulary:
+        """Of the candidate ids, of which often of the rest's documents have each, those over the least significance; KEPT at most."""
+        seen = counted(positive, ids)
+        z = significance(seen, len(positive), often, rest)
+        best = np.argsort(-z, kind="stable")[:KEPT]
+        best = np.sort(best[z[best] > least])
+        p, q = (seen[best] + 0.5) / max(1, len(positive)), (often[best] + 0.5) / max(1, rest)
+        return Vocabulary(ids[best], np.log(p / q).astype(np.float32))
+
+    def inputs(self, sets: list[np.ndarray]) -> np.ndarray:
+        """Weights of the features that each set has; their sum, its logarithm and that of the set's size last."""
+        out = np.zeros((len(sets), len(self.ids) + 3), np.float32)
+        for i, s in enumerate(sets):
+            if len(self.ids) and len(s):
+                at = np.minimum(np.searchsorted(self.ids, s), len(self.ids) - 1)
+                hit = at[self.ids[at] == s]
+                out[i, hit] = self.weight[hit]
+                out[i, -3] = self.weight[hit].sum()
+            out[i, -2:] = np.log1p(max(0.0, out[i, -3])), np.log(max(1, len(s)))
+        return out
 
 
 # ---- both --------------------------------------------------------------------------
@@ -131,81 +157,111 @@ def word_bytes(texts: list[bytes]) -> list[bytes]:
     return [s.tobytes() for _, b in buffers(texts) for s in word_features(b)]
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, features: Features) -> pd.DataFrame:
-    """Features of a bounded sample of the rows outside the held-out fold: LABELLED of each label, UNLABELLED of all.
+def _outside(doc_id: Column, folds: int, held: int) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds != held, F.lit(True))
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, features: Features) -> tuple[list[bytes], list[bytes]]:
+    """Features of bounded samples of the rows outside the held-out fold: LABELLED ones with label 1, about UNLABELLED of all.
 
     Samples are the first rows by a hash of the id, so they are spread over the table and
-    the same in each run. Columns: label (null for the unlabelled) and features. Rows
-    labelled twice count with the larger label; null labels count as none.
+    the same in each run. Rows labelled twice count with the larger label. Label 0 is not used.
     """
-    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
-    known = labels.where((fold != held) & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("label"))
     chance = F.pmod(F.xxhash64("doc_id", F.lit(label)), F.lit(1 << 30))
-    picked = [known.where(F.col("label") == k).orderBy(chance, "doc_id").limit(LABELLED) for k in (0, 1)]
+    ones = labels.where(_outside(F.col("doc_id"), folds, held) & (F.col(label) == 1)).select("doc_id").distinct()
+    wanted = ones.orderBy(chance, "doc_id").limit(LABELLED)
     share = min(1.0, 1.2 * UNLABELLED / max(1, docs.count()))
-    plain = docs.where((fold != held) & (chance < int(share * (1 << 30)))).select("doc_id", "text")
-    wanted = picked[0].unionByName(picked[1])  # 2 * LABELLED rows at most
-    texts = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").unionByName(plain.withColumn("label", F.lit(None).cast("int")), allowMissingColumns=True)
+    plain = docs.where(_outside(F.col("doc_id"), folds, held) & (chance < int(share * (1 << 30))))
+    texts = docs.join(F.broadcast(wanted), "doc_id").select("doc_id", "text", F.lit(1).alias("label")).unionByName(plain.select("doc_id", "text", F.lit(0).alias("label")))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"].astype("Int32"), "features": features([(t or "").encode() for t in batch["text"]])})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, plain in (x for batch in batches for x in stretches(batch)):
+            yield pa.RecordBatch.from_arrays([part.column("chance"), part.column("label"), pa.array(features([t.encode() for t in plain]), pa.binary())], ["chance", "label", "features"])
 
-    rows = texts.select("doc_id", F.col("label").cast("int").alias("label"), "text").mapInPandas(run, "doc_id long, label int, features binary").toPandas()
-    rows = rows.sort_values(["label", "doc_id"], ignore_index=True)
-    lots = rows["label"].isna()
-    return pd.concat([rows[~lots], rows[lots].iloc[: UNLABELLED * 2]], ignore_index=True)
+    rows = map_batches(texts.select(chance.alias("chance"), "label", "text"), run, "chance long, label int, features binary").toArrow()
+    rows = rows.sort_by([("chance", "ascending"), ("features", "ascending")])
+    known = rows.column("label").to_numpy() == 1
+    pick = lambda mask, most: rows.filter(pa.array(mask)).column("features").slice(0, most).to_pylist()
+    return pick(known, 2 * LABELLED), pick(~known, 2 * UNLABELLED)
 
 
-def class_prior(labels: DataFrame, label: str, folds: int, held: int) -> float:
-    """Share of label 1 among all labelled rows outside the held-out fold; a half without any."""
-    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
-    share = labels.where((fold != held) & F.col(label).isin(0, 1)).agg(F.avg(label)).first()[0]
-    return min(0.98, max(0.02, share)) if share is not None else 0.5
+def corpus_sums(docs: DataFrame, folds: int, held: int, add: Callable[[Buffer], np.ndarray], width: int) -> np.ndarray:
+    """Sum of what add makes of the texts of all documents outside the held-out fold."""
+    return summed(docs.where(_outside(F.col("doc_id"), folds, held)).select("text"), lambda batch: (add(b) for _, b in chunks(batch)), width)
 
 
-def fit_quality(rows: pd.DataFrame, prior: float, threshold: float = THRESHOLD) -> nnpu.Scorer | None:
-    x = np.stack([np.frombuffer(f, np.float32) for f in rows["features"]]) if len(rows) else np.zeros((0, 1), np.float32)
-    y = rows["label"].to_numpy(dtype=float, na_value=np.nan)
-    known = ~np.isnan(y)
-    if not (y == 1).any() or known.all():
+def fit_quality(positive: list[bytes], unlabelled: list[bytes], sums: np.ndarray, threshold: float = THRESHOLD) -> nnpu.Scorer | None:
+    """Quality model of both samples' features; sums are the number, sums and sums of squares of the features of all documents."""
+    if not positive or not unlabelled:
         return None
-    return nnpu.calibrate(nnpu.train(x[y == 1], x[~known], prior, hidden=24, epochs=30, rate=0.005), x[known], y[known], threshold)
+    p, u = (np.stack([np.frombuffer(f, np.float32) for f in some]) for some in (positive, unlabelled))
+    count, (mean, square) = max(1.0, sums[0]), sums[1:].reshape(2, -1) / max(1.0, sums[0])
+    scale = np.sqrt(np.maximum(0, square - mean**2)) if count > 1 else np.ones_like(mean)
+    fit = lambda p, u, prior, epochs: nnpu.train(p, u, prior, hidden=24, epochs=epochs, rate=0.005, mean=mean, scale=scale)
+    (p1, p2), (u1, u2) = nnpu.halves(len(p)), nnpu.halves(len(u))
+    guess = fit(p[p1], u[u1], 0.5, 20)
+    prior = nnpu.class_prior(guess.raw(p[p2]), guess.raw(u[u2]))
+    return nnpu.scored(fit(p, u, prior, 30), u, threshold)
 
 
-def fit_toxicity(rows: pd.DataFrame, prior: float, threshold: float = THRESHOLD) -> tuple[np.ndarray, nnpu.Scorer] | None:
-    sets = [np.frombuffer(f, np.uint32) for f in rows["features"]]
-    y = rows["label"].to_numpy(dtype=float, na_value=np.nan)
-    known = ~np.isnan(y)
-    if not (y == 1).any() or known.all():
+def fit_toxicity(positive: list[np.ndarray], unlabelled: list[np.ndarray], ids: np.ndarray, often: np.ndarray, rest: int, threshold: float = THRESHOLD) -> tuple[Vocabulary, nnpu.Scorer] | None:
+    """Toxicity model of both samples' sets; often counts the documents, of rest in all, that have each candidate feature.
+
+    Half of both samples fits models of every least significance and decay, the other
+    half estimates their class prior and risk; the best choice is fitted to all.
+    """
+    if not positive or not unlabelled:
         return None
-    unlabelled = ~known
-    vocabulary = select([s for s, k in zip(sets, (y == 1) | unlabelled, strict=True) if k], (y == 1)[(y == 1) | unlabelled])
-    x = presence(sets, vocabulary)
-    return vocabulary, nnpu.calibrate(nnpu.train(x[y == 1], x[unlabelled], prior, epochs=30, rate=0.01), x[known], y[known], threshold)
+    (p1, p2), (u1, u2) = nnpu.halves(len(positive)), nnpu.halves(len(unlabelled))
+    pick = lambda sets, at: [sets[i] for i in at]
+
+    def fit(p: np.ndarray, u: np.ndarray, prior: float, epochs: int, decay: float) -> nnpu.Scorer:
+        mean, scale = np.zeros(p.shape[1]), np.ones(p.shape[1])
+        last = np.concatenate([p[:, -3:], u[:, -3:]])
+        mean[-3:], scale[-3:] = last.mean(axis=0), last.std(axis=0)
+        return nnpu.train(p, u, prior, epochs=epochs, rate=0.01, decay=decay, mean=mean, scale=scale)
+
+    tried = []
+    for least in LEAST:
+        words = Vocabulary.of(pick(positive, p1), ids, often, rest, least)
+        one, other, rest_one, rest_other = (words.inputs(pick(s, at)) for s, at in ((positive, p1), (positive, p2), (unlabelled, u1), (unlabelled, u2)))
+        for decay in DECAYS:
+            guess = fit(one, rest_one, 0.5, 10, decay)
+            prior = nnpu.class_prior(guess.raw(other), guess.raw(rest_other))
+            tried.append((nnpu.risk(fit(one, rest_one, prior, 15, decay), other, rest_other, prior) if len(other) else 0.0, least, decay, prior))
+    _, least, decay, prior = min(tried, key=lambda x: x[0])
+    words = Vocabulary.of(positive, ids, often, rest, least)
+    u = words.inputs(unlabelled)
+    return words, nnpu.scored(fit(words.inputs(positive), u, prior, 30, decay), u, threshold)
 
 
 def _scored(docs: DataFrame, score: Callable[[list[bytes]], np.ndarray], columns: list[str]) -> DataFrame:
-    """columns of docs and the score of their text; each row by itself."""
+    """columns of docs, untouched, and the score of their text; each row by itself."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [(t or "").encode() for t in batch["text"]]
-            yield batch[columns].assign(score=score(texts))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in (x for batch in batches for x in stretches(batch)):
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(score([t.encode() for t in texts]), pa.float64())], [*columns, "score"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
     needed = columns if "text" in columns else [*columns, "text"]
-    return docs.select(*needed).mapInPandas(run, f"{fields}, score double")
+    return map_batches(docs.select(*needed), run, f"{fields}, score double")
 
 
 def quality_scorer(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> Callable[[list[bytes]], np.ndarray]:
     """A function from UTF-8 texts to quality scores, fitted outside the held-out fold.
 
-    Trusted positives are rows labelled 1, the unlabelled are plain documents, and rows
-    labelled 0 only help to estimate the class prior and to place the threshold. Only the
+    Trusted positives are rows labelled 1 and the unlabelled are plain documents; the class
+    prior is estimated from both, and the threshold is the model's own decision, so rows labelled 0 are
+    not used. Features are standardised by the mean and scale over all documents. Only the
     text is used. Without positives or documents every score is 0.5.
     """
-    model = fit_quality(training_rows(docs, labels, "quality", folds, held, shape_bytes), class_prior(labels, "quality", folds, held))
+    width = 1 + 2 * shape_features(Buffer([b""])).shape[1]
+
+    def add(b: Buffer) -> np.ndarray:
+        x = shape_features(b).astype(np.float64)
+        return np.concatenate([[len(x)], x.sum(axis=0), (x * x).sum(axis=0)])
+
+    model = fit_quality(*training_rows(docs, labels, "quality", folds, held, shape_bytes), corpus_sums(docs, folds, held, add, width))
 
     def score(texts: list[bytes]) -> np.ndarray:
         if model is None:
@@ -216,14 +272,17 @@ def quality_scorer(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int
 
 
 def toxicity_scorer(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) -> Callable[[list[bytes]], np.ndarray]:
-    """As quality_scorer, for toxicity: confirmed toxic rows against unlabelled text, by words and word beginnings."""
-    fitted = fit_toxicity(training_rows(docs, labels, "toxic", folds, held, word_bytes), class_prior(labels, "toxic", folds, held))
+    """As quality_scorer, for toxicity: confirmed toxic rows against unlabelled text, by words and word beginnings, counted over all documents."""
+    positive, unlabelled = ([np.frombuffer(f, np.uint32) for f in some] for some in training_rows(docs, labels, "toxic", folds, held, word_bytes))
+    ids = candidates(positive, unlabelled)
+    sums = corpus_sums(docs, folds, held, lambda b: np.concatenate([[b.count], counted(word_features(b), ids)]).astype(np.float64), 1 + len(ids)) if len(ids) else np.zeros(1)
+    fitted = fit_toxicity(positive, unlabelled, ids, sums[1:], int(sums[0]))
 
     def score(texts: list[bytes]) -> np.ndarray:
         if fitted is None:
             return np.full(len(texts), 0.5)
         vocabulary, model = fitted
-        return np.concatenate([np.zeros(0), *(model.score(presence(word_features(b), vocabulary)) for _, b in buffers(texts))]).astype(float)
+        return np.concatenate([np.zeros(0), *(model.score(vocabulary.inputs(word_features(b))) for _, b in buffers(texts))]).astype(float)
 
     return score
 
@@ -233,18 +292,17 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     score = quality_scorer(docs, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or b"" for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
-            yield batch.filter(pa.array(score(texts) >= threshold))
+        for part, texts in (x for batch in batches for x in stretches(batch)):
+            yield part.filter(pa.array(score([t.encode() for t in texts]) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def _query(spark: SparkSession, sf_dir: str, scorer: Callable, folds: int, held: int) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = _scored(docs, scorer(docs, labels, folds, held), ["doc_id"])
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
-    return scored.select("doc_id", (fold == held).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

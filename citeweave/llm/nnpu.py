@@ -35,15 +35,16 @@ class Scorer:
         return _sigmoid(self.slope * self.raw(x) + self.shift)
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 0, epochs: int = 40, batch: int = 512, rate: float = 0.01, decay: float = 1e-4, slack: float = 0.0, seed: int = 5) -> Scorer:
+def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 0, epochs: int = 40, batch: int = 512, rate: float = 0.01, decay: float = 1e-4, slack: float = 0.0, seed: int = 5, mean: np.ndarray | None = None, scale: np.ndarray | None = None) -> Scorer:
     """Minimise pi * E_p[l(f)] + max(0, E_u[l(-f)] - pi * E_p[l(-f)]) for the sigmoid loss l, with Adam.
 
     Where a batch makes the second term less than -slack, its gradient is followed the
-    other way, so that the risk of the unseen negatives can't be fitted below zero.
+    other way, so that the risk of the unseen negatives can't be fitted below zero. Inputs
+    are standardised by mean and scale, if given, else by those of both samples.
     """
     rng = np.random.default_rng(seed)
     everything = np.concatenate([positive, unlabelled])
-    model = Scorer(everything.mean(axis=0), everything.std(axis=0) + 1e-6)
+    model = Scorer(everything.mean(axis=0) if mean is None else mean, (everything.std(axis=0) if scale is None else scale) + 1e-6)
     p, u = model.inputs(positive).astype(np.float32), model.inputs(unlabelled).astype(np.float32)
     width = p.shape[1]
     if hidden:
@@ -85,18 +86,39 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: in
     return model
 
 
-def calibrate(model: Scorer, x: np.ndarray, y: np.ndarray, threshold: float) -> Scorer:
-    """Place the score's threshold where the two classes of labelled rows are told apart best (mean of both recalls)."""
-    out = model.raw(x)
-    order = np.argsort(out, kind="stable")
-    out, y = out[order], y[order]
-    ones, zeros = max(1, y.sum()), max(1, (1 - y).sum())
-    # Cutting before row i calls rows i and later positive.
-    good = np.concatenate([[0], np.cumsum(1 - y)]) / zeros + np.concatenate([[y.sum()], y.sum() - np.cumsum(y)]) / ones
-    best = np.flatnonzero(good >= good.max() - 1e-12)
-    i = int(best[len(best) // 2])
-    low, high = out[max(0, i - 1)], out[min(len(out) - 1, i)]
-    cut = float((low + high) / 2) if len(out) else 0.0
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, gamma: float = 0.01, delta: float = 0.1) -> float:
+    """Share of positives among the unlabelled, from outputs of a model on rows it was not trained on.
+
+    Best bin estimation: of all rows that reach an output, the unlabelled ones' share over
+    the positives' is the prior where only positives get there, and more elsewhere. It is
+    taken where that ratio and its confidence bound together are least.
+    """
+    if not len(positive) or not len(unlabelled):
+        return 0.5
+    cuts = np.sort(positive)[::-1]
+    reach_p = np.arange(1, len(cuts) + 1) / len(cuts)
+    reach_u = 1 - np.searchsorted(np.sort(unlabelled), cuts, "left") / len(unlabelled)
+    last = np.concatenate([cuts[1:] != cuts[:-1], [True]])  # of equal outputs
+    reach_p, reach_u = reach_p[last], reach_u[last]
+    slack = sum(math.sqrt(math.log(4 / delta) / (2 * len(x))) for x in (positive, unlabelled))
+    best = int(np.argmin(reach_u / reach_p + (1 + gamma) * slack / reach_p))
+    return float(min(0.98, max(0.005, reach_u[best] / reach_p[best])))
+
+
+def risk(model: Scorer, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
+    """The non-negative risk of the zero-one loss on rows the model was not trained on."""
+    p, u = (model.raw(positive) > 0).mean(), (model.raw(unlabelled) > 0).mean()
+    return float(prior * (1 - p) + max(0.0, u - prior * p))
+
+
+def scored(model: Scorer, unlabelled: np.ndarray, threshold: float) -> Scorer:
+    """Let the model's own decision, an output over 0, be a score over the threshold; no label is used."""
+    out = model.raw(unlabelled)
     model.slope = float(4 / (out.std() + 1e-6)) if len(out) else 1.0
-    model.shift = math.log(threshold / (1 - threshold)) - model.slope * cut
+    model.shift = math.log(threshold / (1 - threshold))
     return model
+
+
+def halves(n: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    order = np.random.default_rng(seed).permutation(n)
+    return order[: (n + 1) // 2], order[(n + 1) // 2 :]
