@@ -9,12 +9,15 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm.shared import documents
+from citeweave.llm.hashing import stretches
+from citeweave.llm.shared import documents, map_batches
 
+#: Images that a task holds decoded features of at a time.
+IMAGES = 64
 #: A header field of Netpbm, with the white space and comments before it.
 _FIELD = re.compile(rb"(?:[ \t\r\n\v\f]|#[^\r\n]*[\r\n])*([0-9]+)")
 _CHANNELS = {b"P1": 1, b"P2": 1, b"P3": 3, b"P4": 1, b"P5": 1, b"P6": 3}
@@ -29,6 +32,8 @@ def decode_netpbm(data: bytes) -> np.ndarray:
     for _ in range(2 if kind in (b"P1", b"P4") else 3):
         if not (m := _FIELD.match(data, at)):
             raise ValueError("broken Netpbm header")
+        if len(m[1]) > 9:
+            raise ValueError("broken Netpbm header")
         fields.append(int(m[1]))
         at = m.end()
     width, height, most = *fields[:2], fields[2] if len(fields) > 2 else 1
@@ -36,17 +41,26 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         raise ValueError("broken Netpbm header")
     shape = (height, width, 3) if _CHANNELS[kind] == 3 else (height, width)
     count = height * width * _CHANNELS[kind]
+    if count > 8 * len(data):
+        raise ValueError("more pixels than data")
     if kind == b"P4":
         packed = np.frombuffer(data, np.uint8, height * -(-width // 8), at + 1)
         return (1 - np.unpackbits(packed.reshape(height, -1), axis=1)[:, :width]) * np.uint8(255)
     if kind == b"P1":
         bits = np.frombuffer(re.sub(rb"#[^\r\n]*|[^01]", b"", data[at:]), np.uint8)[:count] - 48
+        if len(bits) < count:
+            raise ValueError("a sample is missing or out of range")
         return ((1 - bits) * np.uint8(255)).reshape(shape)
     wide = np.dtype(">u2") if most > 255 else np.dtype(np.uint8)
     if kind in (b"P2", b"P3"):
-        samples = np.array(re.sub(rb"#[^\r\n]*", b"", data[at:]).split()[:count], dtype=np.int64)
+        words = re.sub(rb"#[^\r\n]*", b"", data[at:]).split()[:count]
+        if any(len(w) > 9 for w in words):
+            raise ValueError("a sample is over the maximum")
+        samples = np.array(words, dtype=np.int64)
     else:
         samples = np.frombuffer(data, wide, count, at + 1)
+    if len(samples) < count or samples.min() < 0 or samples.max() > most:
+        raise ValueError("a sample is missing or out of range")
     return samples.astype(np.uint16 if most > 255 else np.uint8).reshape(shape)
 
 
@@ -62,6 +76,8 @@ def decode_bmp(data: bytes) -> np.ndarray:
     if packing or depth not in (1, 4, 8, 24, 32) or width <= 0 or not height:
         raise ValueError("BMP kind not supported")
     stride = (width * depth + 31) // 32 * 4
+    if start + stride * abs(height) > len(data):
+        raise ValueError("more pixels than data")
     rows = np.frombuffer(data, np.uint8, stride * abs(height), start).reshape(abs(height), stride)
     rows = rows if height < 0 else rows[::-1]
     if depth >= 24:
@@ -69,7 +85,11 @@ def decode_bmp(data: bytes) -> np.ndarray:
     bits = np.unpackbits(rows, axis=1).reshape(abs(height), -1, depth)[:, :width]
     index = (bits * (1 << np.arange(depth - 1, -1, -1))).sum(axis=2)
     colours = int.from_bytes(data[46:50], "little") or 1 << depth
+    if 14 + header + 4 * colours > len(data):
+        raise ValueError("broken BMP palette")
     palette = np.frombuffer(data, np.uint8, 4 * colours, 14 + header).reshape(-1, 4)
+    if index.max() >= colours:
+        raise ValueError("a pixel is outside the palette")
     return palette[index][:, :, 2::-1].copy()
 
 
@@ -127,19 +147,21 @@ def media_features(df: DataFrame, id_col: str, data_col: str, tile: tuple[int, i
     stay; other columns are not carried. Rows are independent: nothing is shuffled.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for key, data in zip(batch["id"], batch["data"], strict=True):
-                try:
-                    image = decode_image(bytes(data) if data is not None else b"")
-                    out.append((key, *image.shape[:2], image.shape[2] if image.ndim == 3 else 1, npy_tile(image, *tile), difference_hash(image), None))
-                except ValueError as e:
-                    out.append((key, None, None, None, None, None, str(e)))
-            yield pd.DataFrame(out, columns=["id", "height", "width", "channels", "npy", "dhash", "error"]).astype({k: "Int64" for k in ("height", "width", "channels")})
+            for first in range(0, batch.num_rows, IMAGES):
+                part, out = batch.slice(first, IMAGES), []
+                for data in part.column("data"):
+                    try:
+                        image = decode_image(data.as_py() or b"")
+                        out.append((*image.shape[:2], image.shape[2] if image.ndim == 3 else 1, npy_tile(image, *tile), difference_hash(image), None))
+                    except ValueError as e:
+                        out.append((None, None, None, None, None, str(e)))
+                kinds = [pa.int64()] * 3 + [pa.binary(), pa.string(), pa.string()]
+                yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], ["id", "height", "width", "channels", "npy", "dhash", "error"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    out = df.select(F.col(id_col).alias("id"), F.col(data_col).alias("data")).mapInPandas(run, f"id {kind}, height long, width long, channels long, npy binary, dhash string, error string")
+    out = map_batches(df.select(F.col(id_col).alias("id"), F.col(data_col).alias("data")), run, f"id {kind}, height long, width long, channels long, npy binary, dhash string, error string")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -147,26 +169,33 @@ def media_features(df: DataFrame, id_col: str, data_col: str, tile: tuple[int, i
 UNIT, WIDTH = 576, 24
 
 
-def store_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        out = []
-        for key, text in zip(batch["doc_id"], batch["text"], strict=True):
-            raw = (text or "").encode()
-            payload = raw + b"\xff" * (-len(raw) % UNIT if raw else UNIT)
-            stored = encode_pgm(payload, WIDTH)
-            image = decode_image(stored)
-            back = image.tobytes()
-            feature = f"{difference_hash(image)}:{hashlib.sha256(npy_tile(image, 8, 8)).hexdigest()[:16]}"
-            out.append((key, len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), feature))
-        yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+#: Columns of store_texts.
+STORED = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tile binary"
 
 
-def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text, padded, stored as a greyscale image, read back and hashed.
+def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every text's bytes, padded, as a greyscale image: what is read back from it, its digests, difference hash and 8 x 8 NPY tile.
 
-    Null and empty texts are one unit of padding. Equal texts give equal values; each
-    row is treated by itself and repeated rows stay.
+    Null and empty texts are one unit of padding. Equal texts give equal values; each row
+    is treated by itself, repeated ones stay, ids (null ones too) pass untouched, other columns are not carried.
     """
-    return documents(spark, sf_dir).select("doc_id", "text").mapInPandas(
-        store_texts, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in (x for batch in batches for x in stretches(batch)):
+            out = []
+            for text in texts:
+                raw = text.encode()
+                payload = raw + b"\xff" * (-len(raw) % UNIT if raw else UNIT)
+                stored = encode_pgm(payload, WIDTH)
+                image = decode_image(stored)
+                back, tile = image.tobytes(), npy_tile(image, 8, 8)
+                feature = f"{difference_hash(image)}:{hashlib.sha256(tile).hexdigest()[:16]}"
+                out.append((len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), feature, tile))
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], ["doc_id", *(x.split()[0] for x in STORED.split(", "))])
+
+    return map_batches(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, {STORED}")
+
+
+def op8_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store_texts(documents(spark, sf_dir))

@@ -9,16 +9,19 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeweave.llm.shared import documents, staged
+from citeweave.llm.hashing import stretches
+from citeweave.llm.shared import documents, map_batches, staged
 
 #: Characters for which both libraries' splitting patterns are known to agree; words of others are left to the first.
 _PLAIN = re.compile("[\n\x21-\x7e\xa1-\u024f]*")
 #: Words whose ids a worker remembers at a time.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Pieces that a task packs at a time, share of the tokens over which a sequence is full, and rounds at most.
+PER_TASK, FULL, MOST_TURNS = 16_384, 0.9, 12
 
 
 class WordIds(dict):
@@ -74,22 +77,25 @@ def word_ids(path: str, ranks_path: str | None) -> WordIds:
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, ranks_path: str | None = None, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: every text's ids and end_id, cut only if longer than capacity; the first piece takes the odd rest."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end = word_ids(tokenizer_path, ranks_path), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            out = []
-            for key, text in zip(batch["id"], batch["text"], strict=True):
-                ids = words.of(text or "") + end
+        for part, texts in (x for batch in batches for x in stretches(batch)):
+            rows, out = [], []
+            for i, text in enumerate(texts):
+                ids = words.of(text) + end
                 n = len(ids) // 4
                 start = 0
                 for piece in range(-(-n // capacity)):
                     stop = (n - 1) % capacity + 1 + piece * capacity
-                    out.append((key, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])))
+                    rows.append(i)
+                    out.append((piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])))
                     start = stop
-            yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            columns = zip(*out, strict=True) if out else [[]] * 4
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(rows, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(lengths: np.ndarray, capacity: int, most_docs: int, most_attention: int, weights: tuple[float, float, float] = (1.0, 0.02, 0.02), score: str = "norm") -> tuple[np.ndarray, np.ndarray]:
@@ -139,24 +145,38 @@ def best_fit(lengths: np.ndarray, capacity: int, most_docs: int, most_attention:
     return bins, offsets
 
 
-def pack(pieces: DataFrame, capacity: int, most_docs: int, most_attention: int, per_task: int = 16_384) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, most_docs: int, most_attention: int, per_task: int = PER_TASK) -> DataFrame:
     """Add sequence_id and offset (gapless from 0) to pieces with a length column.
 
     Pieces are spread over groups of about per_task, whatever their ids, and each group is
-    packed by itself: a group this large leaves a few bins open at its end, so the number
-    of sequences stays within about one in a thousand of packing all at once.
+    packed by itself. Each leaves a few bins that are not FULL; the pieces of those are
+    packed anew together, in far fewer groups each time, until one holds them all. So the
+    number of sequences is that of packing all at once but for a few, and no task holds more
+    than about per_task pieces.
     """
-    pieces = staged(pieces)
-    groups = max(1, round(pieces.count() / per_task))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([c for c in ("doc_id", "piece", "start", "ids_crc32") if c in group], ignore_index=True)
-        bins, offsets = best_fit(group["length"].to_numpy(), capacity, most_docs, most_attention)
-        return group.assign(sequence_id=group["pack"].to_numpy() * 2**32 + bins, offset=offsets).drop(columns="pack")
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    spread = pieces.withColumn("pack", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))  # of staged files, so stable
-    return spread.groupBy("pack").applyInPandas(run, f"{fields}, sequence_id long, offset long")
+    todo, done, turn = staged(pieces), [], 0
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in todo.schema)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("length", "doc_id", "piece", "start", "ids_crc32") if c in table.column_names])
+        lengths = table.column("length").to_numpy()
+        bins, offsets = best_fit(lengths, capacity, most_docs, most_attention)
+        filled = np.bincount(bins, lengths) if len(lengths) else np.zeros(0)
+        spare = filled[bins] < FULL * capacity if len(lengths) else np.zeros(0, bool)
+        own = table.column("pack").to_numpy() * 2**32 + bins
+        for name, values in (("sequence_id", pa.array(own, pa.int64())), ("offset", pa.array(offsets, pa.int64())), ("spare", pa.array(spare, pa.bool_()))):
+            table = table.append_column(name, values)
+        return table.drop_columns(["pack"])
+
+    while True:
+        groups = max(1, round(todo.count() / per_task))
+        spread = todo.withColumn("pack", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(turn)), F.lit(groups)) + (turn << 24))  # of staged files, so stable
+        packed = spread.groupBy("pack").applyInArrow(run, f"{fields}, sequence_id long, offset long, spare boolean")
+        if groups == 1 or turn == MOST_TURNS:
+            return functools.reduce(DataFrame.unionByName, [*done, packed.drop("spare")])
+        packed = staged(packed)
+        done.append(packed.where("not spare").drop("spare"))
+        todo, turn = packed.where("spare").select(*pieces.columns), turn + 1
 
 
 #: Of the registered query; the last two bind no sequence of its capacity.
