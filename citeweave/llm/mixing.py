@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from citeweave.llm.shared import WORD, bucket_of, documents, range_bounds, shuffle_partitions, staged, with_positions
 
-#: Multipliers of the permutations: primes just under 2^31. One that does not divide a source's number of blocks permutes them.
-PRIMES = [2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549, 2147483543, 2147483497]
+#: Rounds of the permutations' Feistel network.
+ROUNDS = 4
 WEIGHTS = [3, 1, 2]
 SHARE, MOST_EPOCHS = 1.5, 2
 #: Words in a block, output shards and seed of the registered query.
@@ -44,34 +44,62 @@ def source_targets(rows: DataFrame) -> DataFrame:
     return levelled.select("skey", "source_size", target.alias("target"), F.least(F.round(target).cast("long"), F.col("cap")).alias("take"))
 
 
-def _permuted(i: Column, blocks: Column, source: Column, epoch: Column, seed: int) -> Column:
-    """(multiplier * i + shift) mod blocks, with the product in two halves so that it stays in 64 bits up to 2^46 blocks."""
-    fit = F.filter(F.array(*[F.lit(p).cast("long") for p in PRIMES]), lambda p: blocks % p != 0)
-    pick = F.element_at(fit, (F.pmod(F.xxhash64(source, epoch, F.lit(seed)), F.size(fit)) + 1).cast("int"))
-    shift = F.pmod(F.xxhash64(epoch, source, F.lit(seed + 1)), blocks)
-    high = (F.floor(pick / 65536).cast("long") * i) % blocks
-    return (high * 65536 % blocks + (pick % 65536) * i % blocks + shift) % blocks
+def permuted(i: Column, n: Column, key: tuple[Column, ...], seed: int) -> Column:
+    """Place of i, in 0 to n - 1, in a pseudorandom permutation of the n places that the key draws.
 
+    A Feistel network over a grid of a x b places, a the root of n rounded up and b as few as
+    hold n, permutes the grid. A place outside n is permuted on until it is inside (cycle
+    walking). Less than a places are outside and a walk visits each once at most, so it
+    ends within as many steps; as seldom as one starts, steps are few on average.
+    """
+    a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    b = F.ceil(n / a).cast("long")
 
-def mixture_slots(targets: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
-    """skey, epoch, slot, block_no, words, shard: which block each slot of the mix takes.
+    def mixed(place: Column) -> Column:
+        left, right = F.floor(place / b).cast("long"), F.pmod(place, b)
+        for k in range(ROUNDS // 2):
+            left = F.pmod(left + F.pmod(F.xxhash64(right, *key, F.lit(seed + 2 * k)), a), a)
+            right = F.pmod(right + F.pmod(F.xxhash64(left, *key, F.lit(seed + 2 * k + 1)), b), b)
+        return left * b + right
 
-    An epoch visits every full block of a source once, in the order of a permutation
-    drawn for that source and epoch, then the shorter last one. Whole epochs are taken
-    first; the last one ends inside a slot where the source's words are all taken. Each
-    slot draws its shard, so a shard's counts by source are multinomial, given each
-    source's total.
+    def inside(place: Column) -> Column:
+        walk = F.aggregate(F.sequence(F.lit(1).cast("long"), a * b - n), place, lambda at, _: F.when(at < n, at).otherwise(mixed(at)))
+        return F.when(place < n, place).otherwise(walk)
+
+    return F.transform(F.array(mixed(i)), inside).getItem(0)
+
+
+def shard_counts(targets: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
+    """skey, epoch, shard, slots, first, words_left, blocks: how many of a source's slots each output shard holds.
+
+    Whole epochs of a source are taken first; the last one ends inside a slot where its
+    words are all taken. Counts are multinomial, given each source's total, so that the totals
+    are the targets: every slot of an epoch draws a shard, and only the counts are kept. A
+    shard's slots follow those of the shards before it, from first on.
     """
     t, size = F.col("take"), F.col("source_size")
     epochs = targets.where((size > 0) & (t > 0)).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(take - 1) div source_size"))))
     epochs = epochs.withColumn("words_left", F.least(size, t - F.col("epoch") * size)).withColumn("blocks", F.expr(f"source_size div {block}"))
     chunks = epochs.withColumn("from", F.explode(F.expr(f"sequence(0L, (words_left - 1) div {block}, {CHUNK}L)"))).repartition(shuffle_partitions(targets.sparkSession), "skey", "epoch", "from")
-    slots = chunks.withColumn("slot", F.explode(F.expr(f"sequence(from, least(from + {CHUNK - 1}, (words_left - 1) div {block}))")))
-    number = F.when(F.col("slot") < F.col("blocks"), _permuted(F.col("slot"), F.col("blocks"), F.col("skey"), F.col("epoch"), seed)).otherwise(F.col("blocks"))
-    return slots.select(
-        "skey", "epoch", "slot", number.alias("block_no"), F.least(F.lit(block), F.col("words_left") - F.col("slot") * block).alias("words"),
-        F.pmod(F.xxhash64("skey", "epoch", "slot", F.lit(seed + 2)), F.lit(shards)).cast("int").alias("shard"),
-    )
+    drawn = chunks.withColumn("draw", F.explode(F.expr(f"sequence(from, least(from + {CHUNK - 1}, (words_left - 1) div {block}))")))
+    shard = F.pmod(F.xxhash64("skey", "epoch", "draw", F.lit(seed)), F.lit(shards)).cast("int").alias("shard")
+    counts = drawn.groupBy("skey", "epoch", shard, "words_left", "blocks").agg(F.count("*").alias("slots"))
+    before = Window.partitionBy("skey", "epoch").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
+    return counts.withColumn("first", F.coalesce(F.sum("slots").over(before), F.lit(0)))
+
+
+def mixture_slots(counts: DataFrame, block: int, seed: int) -> DataFrame:
+    """skey, epoch, slot, block_no, words, shard: which block each slot of the mix takes.
+
+    An epoch visits every full block of a source once, in the order of a permutation
+    drawn for that source and epoch, then the shorter last one. The counts of the shards
+    say which slots there are.
+    """
+    chunks = counts.withColumn("from", F.explode(F.expr(f"sequence(0L, slots - 1, {CHUNK}L)"))).repartition(shuffle_partitions(counts.sparkSession), "skey", "epoch", "shard", "from")
+    slots = chunks.withColumn("slot", F.explode(F.expr(f"sequence(first + from, first + least(from + {CHUNK - 1}, slots - 1))")))
+    full = permuted(F.col("slot"), F.greatest(F.col("blocks"), F.lit(1)), (F.col("skey"), F.col("epoch")), seed)
+    number = F.when(F.col("slot") < F.col("blocks"), full).otherwise(F.col("blocks"))
+    return slots.select("skey", "epoch", "slot", number.alias("block_no"), F.least(F.lit(block), F.col("words_left") - F.col("slot") * block).alias("words"), "shard")
 
 
 def block_pieces(docs: DataFrame, block: int, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -117,7 +145,7 @@ def mix_sources(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed:
     spread like all others.
     """
     pieces, targets = block_pieces(docs, block, **columns)
-    slots = mixture_slots(targets, block, shards, seed)
+    slots = mixture_slots(staged(shard_counts(targets, block, shards, seed + ROUNDS)), block, seed)
     taken = F.when(F.col("slot").isNull(), 0).otherwise(F.greatest(F.least("high", "words") - F.col("low"), F.lit(0))).cast("long")
     # A merge join by hint: the slots are exploded from few rows, by whose size they would be broadcast.
     return pieces.join(slots.hint("merge"), ["skey", "block_no"], "left").withColumn("taken", taken)
@@ -151,6 +179,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document how many of its words the mix takes."""
+    """Per document how many of its words the mix takes, and in how many of its output shards they are."""
     mixed = mix_sources(documents(spark, sf_dir))
-    return mixed.groupBy("skey", "row", "doc_id", "size", "source_size", "target").agg(F.sum("taken").alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
+    shards = F.size(F.collect_set(F.when(F.col("taken") > 0, F.col("shard")))).alias("shards")  # SHARDS at most
+    return mixed.groupBy("skey", "row", "doc_id", "size", "source_size", "target").agg(F.sum("taken").alias("taken"), shards).select("doc_id", "size", "source_size", "target", "taken", "shards")
