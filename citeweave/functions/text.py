@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from citeweave.functions import patterns as P
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value worked out once however often body uses it."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def normalize_line(t: Column) -> Column:
     """Odd spaces to spaces, zero-width characters out, hyphens of all kinds to '-', runs of white space to one space, trimmed."""
     plain = F.translate(t, P.ODD_SPACES + P.HYPHENS + P.ZERO_WIDTH, " " * len(P.ODD_SPACES) + "-" * len(P.HYPHENS))

@@ -48,3 +48,12 @@ def clean_lines(lines: DataFrame, until_eof: bool = False, low_page: int = 50, h
     kept = normal if until_eof else stop_cut(normal)
     t = F.col("text")
     return kept.where(~(Q.is_hyphen_only(t) | Q.is_cid(t) | Q.is_ui_timestamp(t) | Q.is_page_number(t, low_page, high_page)))
+
+
+def clean_line_array(text: Column, until_eof: bool = False, low_page: int = 50, high_page: int = 400) -> Column:
+    """clean_lines of one text as an array, so that a document's lines are never apart; null for a null text."""
+    lines = F.filter(F.transform(F.split(text, BREAKS), T.normalize_line), lambda t: t != "")
+    if not until_eof:
+        stop = lambda x: F.array_position(F.transform(x, Q.is_stop_token), F.lit(True))
+        lines = T.bound(lines, lambda x: T.bound(stop(x), lambda at: F.when(at > 0, F.slice(x, F.lit(1), (at - 1).cast("int"))).otherwise(x)))
+    return F.filter(lines, lambda t: ~(Q.is_hyphen_only(t) | Q.is_cid(t) | Q.is_ui_timestamp(t) | Q.is_page_number(t, low_page, high_page)))

@@ -242,5 +242,5 @@ def fold(lines: DataFrame, step: Callable[[list[str]], list[str]]) -> DataFrame:
             yield batch.map(lambda x: step(list(x)))
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    folded = F.pandas_udf(run, "array<string>")
+    folded = F.pandas_udf(run, "array<string>").asNondeterministic()  # else the optimizer runs it again in a filter on its size
     return to_rows(to_arrays(lines).select(DOC, folded("lines").alias("lines")))
