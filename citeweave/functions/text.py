@@ -77,15 +77,18 @@ def strip_html(t: Column) -> Column:
 
 
 def paragraphs(t: Column) -> Column:
-    """Contents of <p>...</p>, as one line each, without tags and without blank ones."""
-    found = F.regexp_extract_all(t, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)</p>"), F.lit(1))
-    plain = F.transform(found, lambda p: F.trim(F.regexp_replace(F.translate(strip_html(p), "\u00a0", " "), r"\s+", " ")))
-    return F.filter(plain, lambda p: p != "")
+    """Contents of <p>...</p>, as one line each, without blank ones; other tags stay."""
+    return F.filter(F.transform(F.regexp_extract_all(t, F.lit("(?s)<p>(.*?)</p>"), F.lit(1)), one_line), lambda p: p != "")
+
+
+def one_line(t: Column) -> Column:
+    """Trimmed, with no-break spaces and runs of white space as one space."""
+    return F.trim(F.regexp_replace(F.translate(t, "\u00a0", " "), r"\s+", " "))
 
 
 # Three-letter to two-letter language codes.
 LANGUAGES = {
-    "eng": "en", "swe": "sv", "ger": "de", "fre": "fr", "spa": "es", "ita": "it", "nor": "no", "dan": "da", "fin": "fi", "rus": "ru", "por": "pt", "dut": "nl", "pol": "pl",
+    "eng": "en", "swe": "sv", "nor": "no", "dan": "da", "fin": "fi", "deu": "de", "nld": "nl", "spa": "es", "ita": "it", "por": "pt", "rus": "ru", "fra": "fr", "ara": "ar",
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeweave.functions import patterns as P
@@ -57,3 +57,16 @@ def clean_line_array(text: Column, until_eof: bool = False, low_page: int = 50,
         stop = lambda x: F.array_position(F.transform(x, Q.is_stop_token), F.lit(True))
         lines = T.bound(lines, lambda x: T.bound(stop(x), lambda at: F.when(at > 0, F.slice(x, F.lit(1), (at - 1).cast("int"))).otherwise(x)))
     return F.filter(lines, lambda t: ~(Q.is_hyphen_only(t) | Q.is_cid(t) | Q.is_ui_timestamp(t) | Q.is_page_number(t, low_page, high_page)))
+
+
+def line_audit(lines: DataFrame, until_eof: bool = False, low_page: int = 50, high_page: int = 400) -> DataFrame:
+    """doc_id, line_no, text, reason of every line that clean_lines leaves out, one reason each: the first that holds."""
+    t = F.col("text")
+    normal = lines.select("doc_id", "line_no", T.normalize_line(t).alias("text"))
+    marked = normal.withColumn("_stop", F.min(F.when(Q.is_stop_token(t), F.col("line_no"))).over(Window.partitionBy("doc_id")))
+    cut = F.col("line_no") >= F.col("_stop") if not until_eof else F.lit(False)
+    reason = (
+        F.when(t == "", "blank").when(cut, F.when(F.col("line_no") == F.col("_stop"), "stop token").otherwise("after a stop token"))
+        .when(Q.is_hyphen_only(t), "hyphens only").when(Q.is_cid(t), "character id").when(Q.is_ui_timestamp(t), "time stamp").when(Q.is_page_number(t, low_page, high_page), "page number")
+    )
+    return marked.select("doc_id", "line_no", "text", reason.alias("reason")).where("reason is not null")

@@ -1,287 +1,23 @@
-"""Queries over the driver's tables, one per operator, with SQL of the same meaning.
-
-The tables hold no bibliographies, so lines are made from orders inside the query, by one
-SQL text that Spark and the oracle both run.
-"""
+"""Queries over the driver's tables, one per operator, with SQL of the same meaning. catalogue/ has them by family."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
-
-from citeweave.functions import doi as D
-from citeweave.functions import predicates as Q
-from citeweave.functions import text as T
-from citeweave.operators import aggregates as A
-from citeweave.operators import folds as O
-from citeweave.operators import lines as L
-from citeweave.operators import records as R
-from citeweave.operators import sequence as S
-from citeweave.plans.references import ParseOptions, bare_year_references, paren_year_references, references
-from citeweave.sources.readers import page_paragraphs, page_references
-
-#: Line templates; y is the order's year, k its key. Sorted by what they exercise.
-_TEMPLATES = [
-    "'Smith, A. B. (' || y || '). Title number ' || k || ' of a work. https://doi.org/10.1234/' || k",
-    "'Brown, C., & '", "'Green, D. E.'", "'continued line of text ' || k", "'(' || y || '). Another title.'", "'Journal of Things, 12, 3-4.'", "'ends with a hyphen-'", "'Lonely'", "'Prop. ' || y || '/99:123'", "'(cid:12)'",
-    "'123'", "'---, (' || y || '). Same author again ' || k", "'A. (' || y || '). Initial first.'", "'White, F. Work in a bare year, ' || y", "'[' || k || '] Numbered item.'", "'doi: 10.5555/abc.' || k || ' and doi: 10.5555/abc.' || k",
-    "'text [accessed on 2020-01-02]. Black, G. More text'", "'https://example.org/' || k || ' tail words'", "'- -'", "'2003/04/05 12:30 Page 3 #4'", "'Miller, H. (Eds.)'", "'short bit'", "'Appendix'", "'Gray, I. (' || y || ')'",
-]
-LINES_SQL = (
-    "SELECT o_custkey AS doc_id, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS int) AS line_no, CASE (o_orderkey * 7 + o_custkey) % 24 "
-    + " ".join(f"WHEN {i} THEN {t}" for i, t in enumerate(_TEMPLATES))
-    + " END AS text FROM (SELECT *, CAST(year(o_orderdate) AS string) AS y, CAST(o_orderkey AS string) AS k FROM orders)"
-)
-_WITH = f"WITH lines AS ({LINES_SQL}) "
-_YEARS = "(?:17[5-9][0-9]|1[89][0-9][0-9]|20[0-2][0-9]|2030)"
-_PAREN = rf"\({_YEARS}[A-Za-z]?\)"
-_GOV = rf"^\s*[Pp]rop\. {_YEARS}/[0-9]{{2}}:[0-9]{{1,3}}"
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Synthetic lines, a document per customer."""
-    return spark.sql(LINES_SQL.replace("FROM orders", "FROM {orders}"), orders=table(spark, sf_dir, "orders"))
-
-
-def _flag(predicate: Callable) -> Callable:
-    return lambda spark, sf: lines(spark, sf).select("doc_id", "line_no", predicate(F.col("text")).alias("flag"))
-
-
-def _flag_next(predicate: Callable) -> Callable:
-    def run(spark: SparkSession, sf: str) -> DataFrame:
-        rows = S.in_documents(lines(spark, sf)).withColumn("after", S.following())
-        return rows.select("doc_id", "line_no", predicate(F.col("text"), F.col("after")).alias("flag"))
-
-    return run
-
-
-def _value(function: Callable) -> Callable:
-    return lambda spark, sf: lines(spark, sf).select("doc_id", "line_no", function(F.col("text")).alias("value"))
-
-
-def _sequence(operator: Callable) -> Callable:
-    return lambda spark, sf: operator(S.in_documents(lines(spark, sf)))
-
-
-def _sql_flag(condition: str) -> str:
-    return f"{_WITH}SELECT doc_id, line_no, coalesce({condition}, false) AS flag FROM lines"
-
-
-def _sql_value(expression: str) -> str:
-    return f"{_WITH}SELECT doc_id, line_no, {expression} AS value FROM lines"
-
-
-def _rm(pattern: str) -> str:
-    return f"regexp_matches(text, '{pattern}')"
-
-
-def _sql_islands(attach: str, sep: str = " ", extra: str = "") -> str:
-    """SQL of an island operator; attach may use text, before and after. extra adds columns to the rows it sees."""
-    return f"""{_WITH}, a AS (SELECT *, lag(text) OVER (PARTITION BY doc_id ORDER BY line_no) AS before, lead(text) OVER (PARTITION BY doc_id ORDER BY line_no) AS after FROM lines),
-x AS (SELECT *{extra} FROM a), b AS (SELECT *, CASE WHEN line_no > 1 AND coalesce({attach}, false) THEN 0 ELSE 1 END AS fresh FROM x),
-c AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY line_no) AS island, coalesce(lead(fresh) OVER (PARTITION BY doc_id ORDER BY line_no), 1) AS closed FROM b)
-SELECT doc_id, CAST(island AS int) AS line_no, CASE WHEN count(*) = 1 THEN min(text) ELSE array_to_string(list(CASE WHEN fresh = 1 THEN rtrim(text) WHEN closed = 1 THEN ltrim(text) ELSE trim(text) END ORDER BY line_no), '{sep}') END AS text FROM c GROUP BY doc_id, island"""
-
-
-def _sql_consume(takes: str) -> str:
-    able = f"coalesce({takes} AND after IS NOT NULL AND NOT regexp_matches(after, '{_GOV}'), false)"
-    return f"""{_WITH}, a AS (SELECT *, lead(text) OVER (PARTITION BY doc_id ORDER BY line_no) AS after FROM lines), b AS (SELECT *, {able} AS able FROM a),
-c AS (SELECT *, sum(CASE WHEN able THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS run FROM b),
-d AS (SELECT *, sum(CASE WHEN able THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, run ORDER BY line_no) AS place FROM c),
-e AS (SELECT *, lag(able AND place % 2 = 1) OVER (PARTITION BY doc_id ORDER BY line_no) AS taken FROM d),
-f AS (SELECT *, sum(CASE WHEN taken THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS island FROM e)
-SELECT doc_id, CAST(island AS int) AS line_no, CASE WHEN count(*) = 1 THEN min(text) ELSE array_to_string(list(CASE WHEN taken THEN ltrim(text) ELSE rtrim(text) END ORDER BY line_no), ' ') END AS text FROM f GROUP BY doc_id, island"""
-
-
-def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Synthetic documents: a heading and a customer's lines."""
-    arrays = S.to_arrays(lines(spark, sf))
-    return arrays.select("doc_id", F.concat(F.lit("Intro text\nReferences\n"), F.array_join("lines", "\n")).alias("full_text"))
-
-
-_DOCS_SQL = _WITH + ", docs AS (SELECT doc_id, 'Intro text' || chr(10) || 'References' || chr(10) || string_agg(text, chr(10) ORDER BY line_no) AS full_text FROM lines GROUP BY doc_id) "
-
-_JOURNAL_SQL = """SELECT o_orderkey AS row_no, 'J' || CAST(o_custkey % 20 AS string) AS `JOURNAL`, CAST(year(o_orderdate) AS string) AS `YEAR`, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderkey % 4 AS string) END AS `ISSUE`, CAST(NULL AS string) AS `VOL`,
-CASE WHEN o_orderkey % 3 = 0 THEN 'nan' WHEN o_orderkey % 7 = 0 THEN ' ' ELSE '10.1/' || CAST(o_orderkey AS string) END AS `DOI`, '1234-567' || CASE WHEN o_orderkey % 2 = 0 THEN 'x' ELSE '8' END AS `ISSN`,
-CASE WHEN o_custkey % 2 = 0 THEN '2001-02-03' ELSE '2001-02-0' || CAST(1 + o_orderkey % 9 AS string) END AS `PUBLICATION DATE`,
-CASE WHEN o_orderkey % 4 = 0 THEN 'Org ' || CAST(o_custkey AS string) END AS `AU1 ORGANIZATION`, 'Ann' AS `AU1 FIRST NAME`, CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE 'Lee' END AS `AU1 LAST NAME`, 'Bo' AS `AU2 FIRST NAME`, 'Ek' AS `AU2 LAST NAME` FROM orders"""
-_JOURNAL_WITH = "WITH j AS (" + _JOURNAL_SQL.replace("`", '"') + ")"
-
-
-def journal_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.sql(_JOURNAL_SQL.replace("FROM orders", "FROM {orders}"), orders=table(spark, sf, "orders"))
-
-
-def _journal_groups(spark: SparkSession, sf: str) -> DataFrame:
-    out = A.journal_issues(journal_rows(spark, sf))
-    return out.select(F.col("JOURNAL").alias("journal"), F.col("YEAR").alias("year"), F.col("ISSUE").alias("issue"), "issn", "issue_date", "n_articles", F.array_join(F.transform("articles", lambda a: a["doi"]), ",").alias("dois"))
-
-
-def _authors(spark: SparkSession, sf: str) -> DataFrame:
-    rows = A.conform(journal_rows(spark, sf), R.AUTHOR_COLUMNS)
-    return rows.select("row_no", F.explode(R.contributors()).alias("c")).select("row_no", "c.sequence", "c.organization", "c.given_name", "c.surname")
-
-
-def _mods(spark: SparkSession, sf: str) -> DataFrame:
-    """MODS-like records from customers, as nested rows."""
-    c = table(spark, sf, "customer")
-    k, genre = F.col("c_custkey"), F.element_at(F.array(F.lit("dissertation"), F.lit("report"), F.lit("book"), F.lit("article")), (F.col("c_custkey") % 4 + 1).cast("int"))
-    text = lambda x: x.cast("string")
-    row = F.struct(
-        F.array(F.struct(F.lit("eng").alias("_lang"), F.concat(F.lit("<b>Work</b> "), text(k)).alias("title"), F.lit(None).cast("string").alias("subTitle"))).alias("titleInfo"),
-        F.array(F.struct(F.array(F.struct(F.lit("given").alias("_type"), F.lit("Ann").alias("_VALUE")), F.struct(F.lit("family").alias("_type"), F.col("c_name").alias("_VALUE"))).alias("namePart"), F.array(F.struct(F.array(F.lit("aut")).alias("roleTerm"))).alias("role"), F.array(F.lit("Dept")).alias("affiliation"), F.array(F.lit("orcid.org=0000-0001")).alias("description"))).alias("name"),
-        F.array(F.struct(F.when(genre == "report", "publicationTypeCode").otherwise("kev").alias("_authority"), F.lit(None).cast("string").alias("_type"), genre.alias("_VALUE"))).alias("genre"),
-        F.struct(F.lit("2001-05-06").alias("dateIssued"), F.array(F.struct(F.lit("defence").alias("_type"), F.when(k % 3 == 0, "2002-01-02").alias("_VALUE"))).alias("dateOther"), F.lit("Press").alias("publisher")).alias("originInfo"),
-        F.array(F.struct(F.lit("doi").alias("_type"), F.lit(None).cast("string").alias("_displayLabel"), F.concat(F.lit("10.1/"), text(k)).alias("_VALUE")), F.struct(F.lit("isbn").alias("_type"), F.lit("electronic").alias("_displayLabel"), F.lit("978-91-1").alias("_VALUE"))).alias("identifier"),
-        F.array(F.struct(F.array(F.struct(F.lit(None).cast("string").alias("_type"), F.lit("fulltext").alias("_displayLabel"), F.concat(F.lit("https://example.org/"), text(k)).alias("_VALUE"))).alias("url"))).alias("location"),
-        F.array(F.struct(F.array(F.struct(F.lit("Series").alias("title"))).alias("titleInfo"), F.array(F.struct(F.when(k % 2 == 0, "issn").otherwise("isbn").alias("_type"), F.lit(None).cast("string").alias("_displayLabel"), F.lit("1234-5678").alias("_VALUE"))).alias("identifier"))).alias("relatedItem"),
-        F.array(F.struct(F.lit("swe").alias("_lang"), F.lit("<p>One</p><p> Two </p>").alias("_VALUE"))).alias("abstract"), F.struct(text(k % 900).alias("extent")).alias("physicalDescription"),
-    )
-    return c.select(row.alias("m")).select("m.*")
-
-
-def _mods_rows(spark: SparkSession, sf: str) -> DataFrame:
-    r = R.mods_records(_mods(spark, sf))
-    return r.select(
-        "doi", "record_type", F.element_at("titles", 1)["title"].alias("title"), F.element_at("titles", 1)["language"].alias("language"), F.element_at("contributors", 1)["surname"].alias("surname"), F.element_at("contributors", 1)["orcid"].alias("orcid"),
-        F.concat_ws("-", "date.year", "date.month", "date.day").alias("date"), "degree", "book_type", F.col("series.issn").alias("series_issn"), "isbn", F.array_join(F.element_at("abstracts", 1)["paragraphs"], "|").alias("paragraphs"), "resource",
-    )
-
-
-_MODS_SQL = """SELECT '10.1/' || c_custkey AS doi, CASE c_custkey % 4 WHEN 0 THEN 'dissertation' WHEN 1 THEN 'report' ELSE 'book' END AS record_type, 'Work ' || c_custkey AS title, 'en' AS language, c_name AS surname, '0000-0001' AS orcid,
-CASE WHEN c_custkey % 3 = 0 THEN '2002-01-02' ELSE '2001-05-06' END AS date, CASE WHEN c_custkey % 4 = 0 THEN 'Doctoral' END AS degree, CASE WHEN c_custkey % 4 = 2 THEN 'monograph' END AS book_type,
-CASE WHEN c_custkey % 4 <> 0 AND c_custkey % 2 = 0 THEN '1234-5678' END AS series_issn, '978911' AS isbn, 'One|Two' AS paragraphs, 'https://example.org/' || c_custkey AS resource FROM customer WHERE c_custkey % 4 <> 3"""
-
-
-def _spans(spark: SparkSession, sf: str) -> DataFrame:
-    spans = table(spark, sf, "lineitem").select("l_orderkey", F.struct((F.col("l_linenumber") * 10).cast("int").alias("start"), (F.col("l_linenumber") * 10 + F.col("l_quantity").cast("int") % 20).alias("end")).alias("s"))
-    merged = spans.groupBy("l_orderkey").agg(A.merge_spans(F.collect_list("s")).alias("m"))
-    return merged.select("l_orderkey", F.array_join(F.transform("m", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))), ",").alias("spans"))
-
-
-def _span_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "lineitem").select("l_orderkey", (F.col("l_linenumber") * 10).cast("int").alias("start"), (F.col("l_linenumber") * 10 + F.col("l_quantity").cast("int") % 20).alias("end"))
-    return A.merge_span_rows(rows, ["l_orderkey"])
-
-
-_SPAN_ISLANDS = """WITH s AS (SELECT l_orderkey, CAST(l_linenumber * 10 AS int) AS "start", CAST(l_linenumber * 10 + CAST(l_quantity AS int) % 20 AS int) AS "end" FROM lineitem),
-a AS (SELECT *, CASE WHEN "start" <= max("end") OVER (PARTITION BY l_orderkey ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM s),
-b AS (SELECT *, sum(fresh) OVER (PARTITION BY l_orderkey ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS no FROM a), m AS (SELECT l_orderkey, min("start") AS "start", max("end") AS "end" FROM b GROUP BY l_orderkey, no) """
-
-
-def _style(spark: SparkSession, sf: str) -> DataFrame:
-    return A.numbered_style(lines(spark, sf))
-
-
-def _real_lines(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("full_text"))
-    return L.physical_lines(docs).select("doc_id", "line_no", T.normalize_line(F.col("text")).alias("text"))
-
-
-def _section(spark: SparkSession, sf: str) -> DataFrame:
-    return _documents(spark, sf).select("doc_id", L.section(F.col("full_text")).alias("text"))
-
-
-def _clean(spark: SparkSession, sf: str) -> DataFrame:
-    return L.clean_lines(L.physical_lines(_documents(spark, sf), L.section(F.col("full_text"))))
-
-
-def _linked(spark: SparkSession, sf: str) -> DataFrame:
-    """References linked to the records of the DOIs they cite."""
-    cited = lines(spark, sf).select("doc_id", "line_no", F.explode(D.extract_simple(F.col("text"))).alias("doi"))
-    known = table(spark, sf, "orders").select(F.concat(F.lit("10.1234/"), F.col("o_orderkey").cast("string")).alias("doi"), "o_orderpriority")
-    return cited.join(known, "doi").select("doc_id", "line_no", "doi", "o_orderpriority")
-
+from pyspark.sql import DataFrame, SparkSession
 
-def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    """DOIs and the first year in parentheses of each document's normalised lines."""
-    rows = lines(spark, sf).select("doc_id", "line_no", T.normalize_line(F.col("text")).alias("text"))
-    year = F.nullif(F.regexp_extract(F.col("text"), rf"\(({_YEARS})[A-Za-z]?\)", 1), F.lit(""))
-    found = rows.select("doc_id", "line_no", D.extract_simple(F.col("text")).alias("ids"), year.alias("year"))
-    order = F.when(F.col("year").isNotNull(), F.col("line_no"))
-    return found.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.size("ids")).alias("n_dois"), F.min_by("year", order).alias("first_year"))
+from citeweave.plans.catalogue import documents, predicates, records, scalars, sequences
+from citeweave.plans.catalogue.documents import flagship
 
+__all__ = ["flagship", "oracle_sql", "queries"]
 
-_DOI_LIST = r"list_distinct(regexp_extract_all(text, '10\.[0-9]{4,9}/[^\s)\],;]+'))"
+_ENTRIES = {name: entry for family in (documents, predicates, scalars, sequences, records) for name, entry in family.ENTRIES.items()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    fold = lambda step: _sequence(lambda x: S.fold(x, step))
-    return {
-        "doi_and_year": flagship,
-        "pred_government": _flag(Q.is_government), "pred_ui_timestamp": _flag(Q.is_ui_timestamp), "pred_cid": _flag(Q.is_cid), "pred_hyphen_only": _flag(Q.is_hyphen_only), "pred_page_number": _flag(Q.is_page_number),
-        "pred_initials_year": _flag(Q.starts_with_initials_and_year), "pred_initials_near_year": _flag(Q.starts_with_initials_near_year), "pred_ends_comma_initial": _flag(Q.ends_with_comma_or_initial), "pred_ends_ampersand": _flag(Q.ends_with_ampersand),
-        "pred_paren_year": _flag(Q.has_paren_year), "pred_ends_paren_year": _flag(Q.ends_with_paren_year), "pred_starts_paren_year": _flag(Q.starts_with_paren_year), "pred_year_found": _flag(Q.year_found), "pred_ends_year": _flag(Q.line_ends_with_year), "pred_starts_year": _flag(Q.line_starts_with_year),
-        "pred_short": _flag(Q.is_short_fragment), "pred_single_token": _flag(Q.is_single_token), "pred_numeric_fragment": _flag(Q.is_numeric_fragment), "pred_leading_link": _flag(Q.starts_with_link), "pred_number_bracket": _flag(lambda t: Q.has_number_style(t, "bracket")),
-        "pred_stop_token": _flag(Q.is_stop_token), "pred_comma_fragment": _flag_next(Q.comma_fragment_attaches), "pred_author_line": _flag_next(Q.is_author_line), "pred_author_line_paren": _flag_next(Q.is_author_line_paren),
-        "pred_editor_token": _flag(lambda t: F.exists(F.regexp_extract_all(t, F.lit(r"\(([^()]*)\)"), F.lit(1)), Q.is_editor_token)),
-        "normalize_line": _value(T.normalize_line), "fix_diaeresis": _value(lambda t: T.fix_diaeresis(F.replace(t, F.lit("o"), F.lit("¨o")))), "doi_extract_simple": _value(lambda t: F.array_join(D.extract_simple(t), " ")), "doi_extract_exact": _value(lambda t: F.array_join(D.extract_exact(t), " ")),
-        "doi_fix_broken": _value(lambda t: D.fix_broken(F.replace(t, F.lit("doi.org"), F.lit("doi. org")))), "doi_to_end_simple": _value(D.simple_to_end), "doi_move_to_end": _value(D.to_end), "doi_normalize_fragment": _value(D.normalize_fragment), "doi_remove_stray": _value(D.remove_stray_prefixes),
-        "doi_clean_dangling": _value(lambda t: D.clean_dangling(F.concat(t, F.lit(" with and.")))), "split_links": _value(lambda t: F.array_join(D.split_links(t), "|")), "strip_number": _value(T.strip_list_number), "author_prefix": _value(T.author_prefix), "year_count": _value(T.year_count),
-        "safe_file_name_first": _value(lambda t: T.safe_file_name(t)), "safe_file_name_last": _value(lambda t: T.safe_file_name(t, "last")), "strip_html": _value(lambda t: T.strip_html(F.concat(F.lit("<i>"), t, F.lit("</i> x < y")))),
-        "language_map": lambda s, sf: table(s, sf, "nation").select("n_nationkey", T.language(F.element_at(F.array(*[F.lit(x) for x in ("eng", "swe", "xxx")]), F.col("n_nationkey") % 3 + 1)).alias("value")),
-        "page_hints": lambda s, sf: table(s, sf, "part").select("p_partkey", T.page_hints((F.col("p_partkey") % 1200).cast("string")).alias("h")).select("p_partkey", "h.low", "h.high"),
-        "clean_sentinel": lambda s, sf: journal_rows(s, sf).select("row_no", T.clean(F.col("DOI")).alias("doi")), "date_split": lambda s, sf: journal_rows(s, sf).select("row_no", T.date_parts(F.col("PUBLICATION DATE")).alias("d")).select("row_no", "d.year", "d.month", "d.day"),
-        "hyphen_join": _sequence(S.hyphen_join), "attach_non_year": _sequence(S.attach_non_year), "merge_short": _sequence(S.merge_short), "attach_paren_or_year_start": _sequence(S.attach_paren_or_year_start), "year_end_consume": _sequence(S.year_end_consume),
-        "attach_single_tokens": _sequence(S.attach_single_tokens), "attach_initials_year": _sequence(S.attach_initials_year), "ampersand_consume": _sequence(S.ampersand_consume), "append_non_year": _sequence(S.append_non_year), "append_non_year_bare": _sequence(S.append_non_year_bare),
-        "collapse_authors": _sequence(S.collapse_authors), "attach_year_start": _sequence(S.attach_year_start), "bare_year_end_consume": _sequence(S.bare_year_end_consume), "attach_digits": _sequence(S.attach_digits), "append_until_year": _sequence(lambda x: S.append_until_year(x, 3)),
-        "attach_leading_links": _sequence(S.attach_leading_links), "short_join": _sequence(S.short_join), "attach_numeric_fragments": _sequence(S.attach_numeric_fragments), "fill_dashes": _sequence(S.fill_dashes),
-        "split_accessed": _sequence(S.split_accessed), "split_trailers": _sequence(S.split_trailers), "attach_parentheticals": _sequence(S.attach_parentheticals),
-        "fold_url_end": fold(O.join_on_url_end), "fold_numbered_join": fold(O.numbered_join), "fold_leading_ampersand": fold(O.attach_leading_ampersand), "fold_editor_merge": fold(O.editor_merge), "fold_author_append": fold(O.author_append), "fold_author_append_bare": fold(lambda x: O.author_append(x, paren=False)),
-        "numbered_style": _style, "standalone_number_share": lambda s, sf: A.standalone_number_share(lines(s, sf)), "stop_token_cut": lambda s, sf: A.stop_cut(lines(s, sf)), "section_extract": _section, "clean_lines": _clean, "journal_issues": _journal_groups, "journal_authors": _authors,
-        "journal_xml": lambda s, sf: R.journal_xml(R.journal_records(journal_rows(s, sf))).select("JOURNAL", "YEAR", "ISSUE", "xml"), "mods_records": _mods_rows, "mods_xml": lambda s, sf: R.record_xml(R.mods_records(_mods(s, sf))).select("doi", "xml"), "mods_lookup": lambda s, sf: R.record_lookup(_mods(s, sf)).select("url", "doi", "page_hints.low", "page_hints.high"),
-        "merge_spans": _spans, "merge_span_rows": _span_rows, "documents_lines": _real_lines, "page_paragraphs": lambda s, sf: table(s, sf, "pages").select("page_id", F.array_join(page_paragraphs(F.col("html")), "|").alias("paragraphs")),
-        "page_references": lambda s, sf: table(s, sf, "pages").select("page_id", page_references(F.col("html")).alias("refs")), "cited_records": _linked,
-        "apa_pipeline": lambda s, sf: paren_year_references(_clean(s, sf)), "nonapa_pipeline_a": lambda s, sf: bare_year_references(_clean(s, sf)), "nonapa_pipeline_b": lambda s, sf: bare_year_references(_clean(s, sf), ParseOptions(layout="B")), "reference_lists": lambda s, sf: references(_documents(s, sf)),
-    }
+    return {name: query for name, (query, _) in _ENTRIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    f, v, isl = _sql_flag, _sql_value, _sql_islands
-    bare = _rm(rf"(^|[^0-9]){_YEARS}([^0-9]|$)")
-    no_paren = f"NOT {_rm(_PAREN)}"
-    gov = _rm(_GOV)
-    spaces = "length(text) - length(replace(text, ' ', ''))"
-    split = lambda expr: f"{_WITH}, p AS (SELECT doc_id, line_no, unnest(list_transform({expr}, lambda x: trim(x))) AS text, generate_subscripts({expr}, 1) AS nth FROM lines) SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no, nth) AS int) AS line_no, text FROM p WHERE text <> ''"
-    stops = "('Appendix', 'Appendix.')"
-    cut = f"NOT (text IN {stops}) AND line_no < coalesce((SELECT min(s.line_no) FROM lines s WHERE s.doc_id = lines.doc_id AND s.text IN {stops}), 2147483647)"
-    artefacts = rf"regexp_matches(text, '^[-\s]+$') OR regexp_matches(text, '^\(cid:[0-9]+\)$') OR regexp_matches(text, '^[0-9]{{4}}/[0-9]+/[0-9]+ .*Page.*#[0-9]') OR coalesce(try_cast(text AS int) BETWEEN 50 AND 400, false)"
-    return {
-        "doi_and_year": f"{_WITH}, x AS (SELECT doc_id, line_no, len({_DOI_LIST}) AS n, nullif(regexp_extract(text, '\\(({_YEARS})[A-Za-z]?\\)', 1), '') AS y FROM lines) SELECT doc_id, count(*) AS n_lines, CAST(sum(n) AS bigint) AS n_dois, arg_min(y, line_no) FILTER (y IS NOT NULL) AS first_year FROM x GROUP BY doc_id",
-        "pred_government": f(gov), "pred_ui_timestamp": f("text LIKE '____/__/__ __:__ Page _ #_'"), "pred_cid": f(r"regexp_matches(text, '^\(cid:[0-9]+\)$')"), "pred_hyphen_only": f(r"regexp_matches(text, '^[-\s]+$')"), "pred_page_number": f("try_cast(text AS int) BETWEEN 50 AND 400"),
-        "pred_initials_year": f(_rm(rf"^\s*([A-Z]\.?\s+){{1,3}}\s*{_PAREN}")), "pred_initials_near_year": f(_rm(rf"^\s*([A-Z]\.?\s+){{1,3}}.{{0,120}}{_PAREN}")), "pred_ends_comma_initial": f(_rm(r"(,|\b[A-Z]\.?)\s*$")), "pred_ends_ampersand": f("rtrim(text) LIKE '%&'"),
-        "pred_paren_year": f(_rm(_PAREN)), "pred_ends_paren_year": f(_rm(_PAREN + r"\s*$")), "pred_starts_paren_year": f(_rm("^" + _PAREN)), "pred_year_found": f(rf"regexp_matches(text, '(^|[^-0-9]){_YEARS}[A-Pa-p]?([^-0-9]|$)') OR regexp_matches(text, '(^|[^0-9]){_YEARS}-[01][0-9]-[0-3][0-9]([^0-9]|$)')"),
-        "pred_ends_year": f(_rm(r"(\((1[789]|20)[0-9]{2}\)|(^|[^-0-9])(1[789]|20)[0-9]{2})\.?\s*$")), "pred_starts_year": f(_rm(r"^\s*(\((1[789]|20)[0-9]{2}\)|(1[789]|20)[0-9]{2}([^-0-9]|$))")), "pred_short": f(f"{spaces} <= 2"), "pred_single_token": f(_rm(r"^\S+$")), "pred_leading_link": f(_rm(r"^\s*(?i:https?://|doi:|doi\.org|org/|10\.[0-9]{3,8}/)")),
-        "pred_number_bracket": f(_rm(r"^\s*\[[0-9]{1,3}\]")), "pred_stop_token": f(f"text IN {stops}"), "pred_editor_token": f(_rm(r"\(\s*(?i:eds?|red)\.?\s*\)")),
-        "normalize_line": v(r"trim(regexp_replace(text, '\s{2,}', ' ', 'g'))"), "fix_diaeresis": v("replace(text, 'o', 'ö')"), "doi_extract_simple": v(rf"array_to_string({_DOI_LIST}, ' ')"), "doi_fix_broken": v("text"),
-        "doi_clean_dangling": v("text || ' with.'"), "split_links": v(r"regexp_replace(array_to_string(list_filter(list_transform(string_split(regexp_replace(text, '((?:https?://|doi:)\S+)\s*', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> ''), '|'), '\|$', '')"),
-        "strip_number": v(r"regexp_replace(regexp_replace(text, '^\s*([0-9]+\.|\[[0-9]+\])\s*', ''), '^\s*[0-9]+\s+', '')"), "year_count": v(rf"CAST(len(regexp_extract_all(text, '{_PAREN}')) AS int)"), "safe_file_name_first": v(r"regexp_replace(regexp_replace(text, '^[^/]*/', ''), '[^\w.-]', '_', 'g')"), "safe_file_name_last": v(r"regexp_replace(regexp_replace(text, '^.*/', ''), '[^\w.-]', '_', 'g')"), "strip_html": v("text || ' x '"),
-        "author_prefix": v(rf"CASE WHEN regexp_matches(text, '(^|[^0-9]){_YEARS}([^0-9]|$)') THEN regexp_replace(rtrim(regexp_extract(text, '^(.*?)(?:\({_YEARS}[A-Za-z]?\)|(?:\b){_YEARS}(?:[^0-9]|$))', 1)), '[,(]$', '') END"),
-        "language_map": "SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'sv' END AS value FROM nation", "page_hints": "WITH p AS (SELECT p_partkey, CAST(p_partkey % 1200 AS int) AS e FROM part), q AS (SELECT p_partkey, greatest(30, least(800, e)) AS hi, greatest(30, e - 50) AS lo FROM p) SELECT p_partkey, least(lo, hi) AS low, hi AS high FROM q",
-        "clean_sentinel": f"{_JOURNAL_WITH} SELECT row_no, CASE WHEN trim(\"DOI\") NOT IN ('', 'nan') THEN trim(\"DOI\") END AS doi FROM j", "date_split": f"{_JOURNAL_WITH} SELECT row_no, split_part(\"PUBLICATION DATE\", '-', 1) AS year, split_part(\"PUBLICATION DATE\", '-', 2) AS month, split_part(\"PUBLICATION DATE\", '-', 3) AS day FROM j",
-        "hyphen_join": isl("rtrim(before) LIKE '%-'", ""), "attach_non_year": isl(f"NOT {bare}"), "merge_short": isl(f"{spaces} <= 2 AND NOT {gov}"), "attach_paren_or_year_start": isl(_rm(rf"^\s*(\(|{_YEARS}([^0-9]|$))")), "attach_single_tokens": isl(_rm(r"^\S+$")),
-        "attach_initials_year": isl(rf"{_rm(rf'^([A-Z]\.?\s+){{1,3}}.{{0,120}}{_PAREN}')} AND regexp_matches(rtrim(before), '(,|\b[A-Z]\.?)$')"), "append_non_year": isl(f"{no_paren} AND NOT {gov}"), "attach_year_start": isl(_rm(r"^\s*(\((1[789]|20)[0-9]{2}\)|(1[789]|20)[0-9]{2}([^-0-9]|$))")),
-        "attach_digits": isl(rf"regexp_matches(text, '[0-9]') AND NOT (regexp_matches(text, '(^|[^-0-9]){_YEARS}[A-Pa-p]?([^-0-9]|$)') OR regexp_matches(text, '(^|[^0-9]){_YEARS}-[01][0-9]-[0-3][0-9]([^0-9]|$)'))"), "attach_leading_links": isl(_rm(r"^\s*(?i:https?://|doi:|doi\.org|org/|10\.[0-9]{3,8}/)")),
-        "year_end_consume": _sql_consume(_rm(_PAREN + r"\s*$")), "ampersand_consume": _sql_consume("rtrim(text) LIKE '%&'"), "bare_year_end_consume": _sql_consume(_rm(r"(\((1[789]|20)[0-9]{2}\)|(^|[^-0-9])(1[789]|20)[0-9]{2})\.?\s*$")),
-        "append_until_year": f"""{_WITH}, a AS (SELECT *, coalesce(sum(CASE WHEN regexp_matches(text, '(^|[^-0-9]){_YEARS}[A-Pa-p]?([^-0-9]|$)') OR regexp_matches(text, '(^|[^0-9]){_YEARS}-[01][0-9]-[0-3][0-9]([^0-9]|$)') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM lines),
-b AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, g ORDER BY line_no) - 1) // 4 AS chunk FROM a), c AS (SELECT doc_id, min(line_no) AS first_line, array_to_string(list(CASE WHEN true THEN text END ORDER BY line_no), chr(1)) AS t, count(*) AS n FROM b GROUP BY doc_id, g, chunk)
-SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first_line) AS int) AS line_no, CASE WHEN n = 1 THEN t ELSE regexp_replace(t, ' *' || chr(1) || ' *', ' ', 'g') END AS text FROM c""",
-        "split_accessed": split(r"string_split(regexp_replace(text, '(\[accessed on [0-9-]+\]\.?)', '\1' || chr(1), 'g'), chr(1))"), "split_trailers": f"{_WITH}SELECT doc_id, line_no, text FROM lines",
-        "numbered_style": f"{_WITH}, c AS (SELECT doc_id, count(*) FILTER (regexp_matches(text, '^\\s*\\[[0-9]{{1,3}}\\]')) AS n_bracket, count(*) FILTER (regexp_matches(text, '^\\s*\\([0-9]{{1,3}}\\)')) AS n_paren, count(*) FILTER (regexp_matches(text, '^\\s*[0-9]{{1,3}}\\.([^0-9]|$)')) AS n_bare FROM lines GROUP BY doc_id) SELECT *, CASE WHEN n_bracket >= 15 THEN 'bracket' WHEN n_paren >= 15 THEN 'paren' WHEN n_bare >= 10 THEN 'bare' END AS style FROM c",
-        "standalone_number_share": f"{_WITH}SELECT doc_id, count(*) FILTER (regexp_matches(text, '^\\s*(\\[[0-9]{{1,3}}\\]|\\([0-9]{{1,3}}\\)|[0-9]{{1,3}}\\.?)\\s*$')) / CAST(count(*) AS double) AS share FROM lines GROUP BY doc_id",
-        "stop_token_cut": f"{_WITH}SELECT doc_id, line_no, text FROM lines WHERE {cut}", "section_extract": _DOCS_SQL + "SELECT doc_id, substr(full_text, length('Intro text') + length('References') + 2) AS text FROM docs",
-        "clean_lines": f"{_WITH}SELECT doc_id, CAST(line_no + 1 AS int) AS line_no, trim(text) AS text FROM lines WHERE {cut} AND NOT ({artefacts})",
-        "journal_issues": f"""{_JOURNAL_WITH}, k AS (SELECT *, CASE WHEN trim("DOI") NOT IN ('', 'nan') THEN trim("DOI") END AS d FROM j) SELECT "JOURNAL" AS journal, "YEAR" AS year, "ISSUE" AS issue, upper(arg_min("ISSN", row_no)) AS issn, CASE WHEN count(DISTINCT "PUBLICATION DATE") = 1 THEN min("PUBLICATION DATE") END AS issue_date, count(d) AS n_articles, string_agg(d, ',' ORDER BY row_no) AS dois FROM k GROUP BY 1, 2, 3 HAVING count(d) > 0""",
-        "journal_authors": f"""{_JOURNAL_WITH} SELECT row_no, 'first' AS sequence, "AU1 ORGANIZATION" AS organization, CASE WHEN "AU1 ORGANIZATION" IS NULL THEN 'Ann' END AS given_name, CASE WHEN "AU1 ORGANIZATION" IS NULL THEN 'Lee' END AS surname FROM j WHERE "AU1 ORGANIZATION" IS NOT NULL OR "AU1 LAST NAME" <> '' UNION ALL SELECT row_no, 'additional', NULL, 'Bo', 'Ek' FROM j""",
-        "mods_records": _MODS_SQL, "mods_lookup": "WITH c AS (SELECT *, CAST(c_custkey % 900 AS int) AS e FROM customer) SELECT 'https://example.org/' || c_custkey AS url, '10.1/' || c_custkey AS doi, least(greatest(30, e - 50), greatest(30, least(800, e))) AS low, greatest(30, least(800, e)) AS high FROM c",
-        "merge_spans": _SPAN_ISLANDS + """SELECT l_orderkey, string_agg("start" || '-' || "end", ',' ORDER BY "start") AS spans FROM m GROUP BY l_orderkey""", "merge_span_rows": _SPAN_ISLANDS + "SELECT * FROM m",
-        "documents_lines": r"WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents) SELECT doc_id, CAST(line_no AS int) AS line_no, trim(regexp_replace(text, '\s{2,}', ' ', 'g')) AS text FROM p",
-        "page_paragraphs": r"SELECT page_id, coalesce(array_to_string(list_filter(list_transform(regexp_extract_all(html, '(?is)<p(?:\s[^>]*)?>(.*?)</p>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'), '\s+', ' ', 'g'))), lambda x: x <> ''), '|'), '') AS paragraphs FROM pages",
-        "cited_records": f"{_WITH}, c AS (SELECT doc_id, line_no, unnest({_DOI_LIST}) AS doi FROM lines) SELECT doc_id, line_no, doi, o_orderpriority FROM c JOIN orders ON doi = '10.1234/' || o_orderkey",
-    }
+    """Without those that only a sequential program expresses: author and editor merges, exact DOI placement, whole pipelines."""
+    return {name: sql for name, (_, sql) in _ENTRIES.items() if sql}

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import http.client
 import io
+import subprocess
+import urllib.request
 from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from citeweave.operators.aggregates import JOURNAL_KEYS, conform
 from citeweave.operators.records import ARTICLE_COLUMNS, AUTHOR_COLUMNS, MODS_SCHEMA
@@ -31,7 +36,7 @@ def read_mods(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("xml").options(rowTag="mods", ignoreNamespace=True).schema(MODS_SCHEMA).load(path)
 
 
-def read_pdfs(spark: SparkSession, path: str, backends: Sequence[str] = ("pymupdf", "pdfminer")) -> DataFrame:
+def read_pdfs(spark: SparkSession, path: str, backends: Sequence[str] = ("pymupdf", "pdftotext", "pdfminer")) -> DataFrame:
     """doc_id, source and full_text of PDF files: of the first backend that is installed and finds text."""
     files = spark.read.format("binaryFile").load(path)
     return files.select(F.col("path").alias("doc_id"), F.col("path").alias("source"), extract_pdf(F.col("content"), backends).alias("full_text"))
@@ -50,8 +55,67 @@ def _pdfminer(data: bytes) -> str:
     return extract_text(io.BytesIO(data))
 
 
-#: PDF text extractors by name; more may be added. A library is imported where it runs.
-PDF_BACKENDS: dict[str, Callable[[bytes], str]] = {"pymupdf": _pymupdf, "pdfminer": _pdfminer}
+def _pdftotext(data: bytes) -> str:
+    """The command of that name, with the page's layout; it reads standard input, so nothing is written."""
+    return subprocess.run(["pdftotext", "-layout", "-", "-"], input=data, capture_output=True, check=True, timeout=PDF_SECONDS).stdout.decode("utf-8", "replace")
+
+
+#: Seconds that a command may take for a file.
+PDF_SECONDS = 300
+#: PDF text extractors by name; more may be added. A library or command is looked for where it runs.
+PDF_BACKENDS: dict[str, Callable[[bytes], str]] = {"pymupdf": _pymupdf, "pdftotext": _pdftotext, "pdfminer": _pdfminer}
+
+
+def fetch(urls: DataFrame, column: str = "url", kind: str | None = None, seconds: float = 10, most_bytes: int = 100 << 20) -> DataFrame:
+    """The rows of urls with content (bytes) and error of what each URL answers.
+
+    kind is a content type that the answer must have ("application/pdf"); an answer of another kind, one over most_bytes,
+    a refusal or a time-out gives null content and an error, never a failure. Rows run in parallel, one request at
+    a time per task; a lost task asks again.
+    """
+    known = [c for c in urls.columns if c not in ("content", "error")]
+
+    def answer(url: str | None) -> tuple[bytes | None, str | None]:
+        if not url or not url.lower().startswith(("http://", "https://")):
+            return None, "no http address"
+        try:
+            with urllib.request.urlopen(urllib.request.Request(url, headers={"User-Agent": "Mozilla/5.0"}), timeout=seconds) as reply:
+                found = reply.headers.get_content_type()
+                if kind and found != kind:
+                    return None, f"content is {found}"
+                body = reply.read(most_bytes + 1)
+            return (body, None) if len(body) <= most_bytes else (None, "content is too long")
+        except (OSError, ValueError, http.client.HTTPException) as e:
+            return None, f"{type(e).__name__}: {e}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):  # one body at a time
+                row = batch.slice(i, 1)
+                content, error = answer(row.column(column)[0].as_py())
+                yield pa.RecordBatch.from_arrays([*row.columns, pa.array([content], pa.binary()), pa.array([error], pa.string())], [*known, "content", "error"])
+
+    return urls.select(*known).mapInArrow(run, StructType([*(urls.schema[c] for c in known), StructField("content", BinaryType()), StructField("error", StringType())]))
+
+
+def fetch_pdfs(urls: DataFrame, column: str = "url", backends: Sequence[str] = ("pymupdf", "pdftotext", "pdfminer"), seconds: float = 60) -> DataFrame:
+    """doc_id (the URL), source, full_text and error of PDF files on the web."""
+    got = fetch(urls.select(F.col(column).alias("url")), "url", "application/pdf", seconds)
+    return got.select(F.col("url").alias("doc_id"), F.col("url").alias("source"), extract_pdf(F.col("content"), backends).alias("full_text"), "error")
+
+
+def fetch_pages(urls: DataFrame, column: str = "url", seconds: float = 10) -> DataFrame:
+    """url, html and error of web pages; bytes that are no UTF-8 become U+FFFD."""
+    got = fetch(urls.select(F.col(column).alias("url")), "url", None, seconds)
+    return got.select("url", _decoded(F.col("content")).alias("html"), "error")
+
+
+def _decoded(content: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(data: pd.Series) -> pd.Series:
+        return data.map(lambda raw: bytes(raw).decode("utf-8", "replace"), na_action="ignore")
+
+    return run(content)
 
 
 def extract_pdf(content: Column, backends: Sequence[str]) -> Column:

@@ -5,12 +5,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from citeweave.functions import doi as D
 from citeweave.functions import predicates as Q
+from citeweave.functions import text as T
 from citeweave.operators import aggregates as A
+from citeweave.operators import folds as O
 from citeweave.operators import lines as L
 from citeweave.operators import lists as I
 from citeweave.operators import sequence as S
-from citeweave.plans.references import ParseOptions, references, section_arrays, section_lines
+from citeweave.plans.references import ParseOptions, bare_year_references, paren_year_references, references, section_arrays, section_lines
 
 WORDS = [
     "Smith, A. B.", "Smith, A. B.,", "Title words here", "(2001). Text", "2001", "ends-", "one", "and &", "& Jones, C. (2001)", "x (1999)", "Prop. 2001/02:1", "SOU:1999:12", "A. (2005). T", "A. Ek (2005)", "https://x.org", "Brown, C.", "7 things 12",
@@ -73,6 +76,44 @@ def test_pairs(spark, name):
     assert result(plan(rows(spark, data))) == {d: y for d, x in data.items() if (y := listed(x))}
 
 
+def paren_rows(x):
+    """The chain of parenthesised years over rows."""
+    x = S.attach_single_tokens(S.year_end_consume(S.attach_paren_or_year_start(S.hyphen_join(S.in_documents(x)))))
+    x = S.ampersand_consume(S.attach_initials_year(x))
+    x = S.fold(x, lambda t: O.author_append(O.editor_merge(O.attach_leading_ampersand(t))))
+    x = S.split_trailers(S.append_non_year(x), 2)
+    return x.withColumn("text", T.fix_diaeresis(D.to_end(D.to_end(F.col("text")))))
+
+
+def bare_rows(x, layout, full):
+    """The chain of bare years over rows."""
+    x = S.collapse_authors(S.in_documents(x), full)
+    if layout in "BD":
+        x = S.bare_year_end_consume(S.attach_year_start(x))
+        x = S.fold(x, lambda t: O.author_append(O.editor_merge(t, paren=False), paren=False))
+        x = S.attach_digits(S.append_non_year_bare(x, full))
+    else:
+        x = S.append_until_year(x)
+    x = S.ampersand_consume(S.attach_initials_bare(x))
+    x = S.merge_short(S.attach_non_year(S.attach_numeric_fragments(x)))
+    x = S.split_accessed(S.attach_leading_links(S.fold(x, O.join_on_url_end)))
+    x = S.split_each(x, D.split_links(F.col("text")))
+    x = S.split_trailers(x.withColumn("text", D.fix_broken(D.to_end(F.col("text")))), 0)
+    return S.attach_parentheticals(S.short_join(x, full)).withColumn("text", T.fix_diaeresis(F.col("text")))
+
+
+@pytest.mark.parametrize("layout", ["paren", "A", "B", "C", "D"])
+def test_chains(spark, layout):
+    """Whole pipelines: one pass over arrays is the chain of windows over rows."""
+    data = rows(spark, streams(77, 150))
+    if layout == "paren":
+        want, got = paren_rows(data), paren_year_references(data)
+    else:
+        options = ParseOptions(layout=layout, initials_merge=True, numeric_fragments=True)
+        want, got = bare_rows(data, layout, layout in "CD"), bare_year_references(data, options)
+    assert result(got) == result(want)
+
+
 def test_predicates_agree(spark):
     """Author lines and others, of each line before each other."""
     data = [(t, n) for t in WORDS for n in [*WORDS, None]]
