@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeweave.llm.shared import WORD, bucket_of, documents, range_bounds, shuffle_partitions, staged, with_positions
+from citeweave.llm.shared import WORD, bucket_of, documents, free_name, range_bounds, shuffle_partitions, staged, with_positions
 
 #: Rounds of the permutations' Feistel network.
 ROUNDS = 4
@@ -159,22 +159,23 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     go. n_chars, if there, is the new text's. Rows that repeat id and text are taken as
     often as the mix takes each of them. Texts meet their places by id and hash, once.
     """
-    key = lambda: F.struct("doc_id", "digest").alias("mixed_key")
-    parts = mix_sources(docs).where("taken > 0").groupBy(key(), "skey", "row", "epoch").agg(F.array_sort(F.collect_list(F.struct("skip", "taken"))).alias("mixed_parts"))
-    hashed = docs.withColumn("mixed_key", F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("digest")))
-    places = parts.groupBy("mixed_key").agg(F.collect_list("mixed_parts").alias("mixed_epochs"))  # MOST_EPOCHS a row, if ids are unique
-    joined = hashed.join(places, "mixed_key")
-    repeated = parts.select("mixed_key", "row", "skey").distinct().groupBy("mixed_key").agg(F.count("*").alias("mixed_rows")).where("mixed_rows > 1")
+    key, text, epochs = (free_name(docs, name) for name in ("mixed_key", "mixed_text", "mixed_epochs"))
+    of_place = F.struct("doc_id", "digest").alias(key)
+    parts = mix_sources(docs).where("taken > 0").groupBy(of_place, "skey", "row", "epoch").agg(F.array_sort(F.collect_list(F.struct("skip", "taken"))).alias("parts"))
+    hashed = docs.withColumn(key, F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("digest")))
+    places = parts.groupBy(key).agg(F.collect_list("parts").alias(epochs))  # MOST_EPOCHS a row, if ids are unique
+    joined = hashed.join(places, key)
+    repeated = parts.select(key, "row", "skey").distinct().groupBy(key).count().where("count > 1")
     if not repeated.isEmpty():
-        joined = joined.dropDuplicates(["mixed_key"])
+        joined = joined.dropDuplicates([key])
     words = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
 
     def texts_of(tokens: Column) -> Column:
         piece = lambda p: F.array_join(F.slice(tokens, (p["skip"] + 1).cast("int"), p["taken"].cast("int")), "")
-        return F.transform("mixed_epochs", lambda parts: F.array_join(F.transform(parts, piece), ""))
+        return F.transform(epochs, lambda parts: F.array_join(F.transform(parts, piece), ""))
 
-    out = joined.withColumn("mixed_text", F.explode(F.transform(F.array(words), texts_of).getItem(0)))
-    new = {"text": F.col("mixed_text"), "n_chars": F.length("mixed_text").cast("long")}
+    out = joined.withColumn(text, F.explode(F.transform(F.array(words), texts_of).getItem(0)))
+    new = {"text": F.col(text), "n_chars": F.length(text).cast("long")}
     return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 

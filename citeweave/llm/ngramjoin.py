@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from citeweave.llm.components import components
 from citeweave.llm.hashing import SPACES, Buffer, chunks, mixed, summed
-from citeweave.llm.shared import documents, map_batches, staged
+from citeweave.llm.shared import documents, free_name, map_batches, staged
 
 #: Counters of the frequency sketch: rows, and counters in each (a power of two).
 SKETCH_ROWS, SKETCH_WIDTH = 2, 1 << 18
@@ -363,17 +363,19 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> Dat
     """The rows of docs (doc_id, text and others) but for near duplicates: of each component the row of its smallest id stays.
 
     Texts without words are no duplicates of anything, but a row that repeats another's id
-    and text goes, as does one with the same id and a similar text.
+    and text goes, as does one with the same id and a similar text. Null ids count as
+    smallest. Columns are as in docs, whatever their names.
     """
+    near = free_name(docs, "near_id")
     ident = lambda: F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("digest"))
-    joined = staged(ngram_join(docs.select(ident().alias("near_id"), "text"), n, num, den, id_col="near_id").select("near_id", "component_id"))
-    gone = sendable(joined.where("near_id <> component_id").select("near_id").distinct())
-    marked = docs.withColumn("near_id", ident())
-    left = marked.join(gone, "near_id", "left_anti")
-    repeated = staged(joined.where("near_id = component_id").groupBy("near_id").count().where("count > 1").select("near_id"))
+    joined = staged(ngram_join(docs.select(ident().alias(near), "text"), n, num, den, id_col=near).select(near, "component_id"))
+    gone = sendable(joined.where(F.col(near) != F.col("component_id")).select(near).distinct())
+    marked = docs.withColumn(near, ident())
+    left = marked.join(gone, near, "left_anti")
+    repeated = staged(joined.where(F.col(near) == F.col("component_id")).groupBy(near).count().where("count > 1").select(near))
     if not repeated.isEmpty():
         some = sendable(repeated)
-        left = left.join(some, "near_id", "left_anti").unionByName(left.join(some, "near_id", "left_semi").dropDuplicates(["near_id"]))
+        left = left.join(some, near, "left_anti").unionByName(left.join(some, near, "left_semi").dropDuplicates([near]))
     return left.select(*docs.columns)
 
 

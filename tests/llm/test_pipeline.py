@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import pytest
 
 import corpus_pipeline
 from citeweave.llm.shared import documents, staged
@@ -70,6 +71,39 @@ def test_stages(spark, sf):
     assert max(used.values()) <= 2048 and len(used) <= -(-sum(used.values()) // 2048) + 2
 
 
+ODD = "doc_id long, text string, lang string, source string, n_chars long, near_id string, label string, chance string, mixed_key string, mixed_text string, size long, row long, `key` string, shingles string, score double"
+
+
+def odd_rows():
+    long = " ".join(f"word{i} the and of" for i in range(4000))
+    texts = [(1, "The cat of the house and the big dog in a small town by the sea"), (2, None), (3, ""), (4, "  \n\t "), (5, "word"), (6, long), (7, long + " end"), (None, "no id of this text here"), (None, "no id of this text here"), (8, "mail bob@example.com now"), (2**60 + 1, "a large id and a few words"), (5, "word"), (9, "WORD"), (5, "other words")]
+    return [(i, t, None if k % 3 else "en", [None, "a", "b", ""][k % 4], None if t is None else len(t), "n", "l", "c", "k", "t", 1, 2, "key", "s", 0.5) for k, (i, t) in enumerate(texts)]
+
+
+@pytest.mark.parametrize("rows", [odd_rows(), []], ids=["odd", "empty"])
+def test_stages_on_odd_rows(spark, tmp_path, rows):
+    """Nulls in any column, empty, long and repeated rows, extra columns with names of the stages' own, and no rows: one stage after the other."""
+    labels = [(1, 1, 0), (6, 1, 0), (8, None, 1), (None, 1, 1), (99, 0, 0)] if rows else []
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = staged(spark.createDataFrame(rows, ODD).repartition(3))
+    for name, stage in corpus_pipeline.STAGES:
+        before = Counter((r["doc_id"], r["text"]) for r in docs.collect()) if "text" in docs.columns else None
+        out = staged(stage(spark, docs, str(tmp_path)))
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+            assert all(r["near_id"] == "n" and r["mixed_key"] == "k" and r["size"] == 1 and r["score"] == 0.5 for r in out.collect()), name
+        after = Counter(r["doc_id"] for r in out.collect())
+        if name == "n-gram Jaccard join" and rows:
+            kept = Counter((r["doc_id"], r["text"]) for r in out.collect())
+            assert max(kept.values()) == 1 and sum(t == odd_rows()[5][1] for _, t in kept) <= 1 and not any(t == "WORD" for _, t in kept)
+        elif name == "personal data":
+            assert after == Counter(i for i, _ in before.elements())
+        assert rows or not after
+        docs = out
+    if rows:
+        assert 2**60 + 1 in after and None in after
+
+
 def test_entry_needs_no_llm(tmp_path):
     import os
     import shutil
