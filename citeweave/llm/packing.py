@@ -6,6 +6,7 @@ import base64
 import functools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,14 +47,14 @@ class WordIds(dict):
 
             with open(ranks_path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            self.plain = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.plain = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
         if self.plain and _PLAIN.fullmatch(word):
-            ids = np.array(self.plain.encode_ordinary(" " + word), "<u4").tobytes()
+            ids = array("I", self.plain(" " + word)).tobytes()
         else:
             ids = self.encode(" " + word)
         self[word] = ids
