@@ -18,6 +18,8 @@ al como con del el está las lo los más o pero por su sus y
 """.split()
 #: Content words in a chain.
 CHAIN = 2
+#: Sets that one salt of a spot holds in near_pairs.
+SALTED = 256
 #: Ranges of ids that a task of with_next treats one after another.
 RANGES = 8
 
@@ -109,32 +111,33 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def near_pairs(prints: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Near duplicates among (id, spots): members (id, rep) and pairs (a, b, likeness) of representatives.
 
-    Texts of equal spots share a representative, the smallest id, and are not paired.
+    Texts of equal spots share a representative, the smallest id (null if none has one), and are not paired.
     Representatives are dealt into partitions by the length of their set, each as wide as
     the threshold allows, so a set can only be like sets in its own partition and the one
     below. There sets meet at the rarest of their spots (as many as must hold one in
     common), if their lengths allow the threshold, and each pair is compared once by exact
-    Jaccard. Sets without spots are like nothing. Null ids are no representatives.
+    Jaccard. The sets of a spot that many have are dealt over salts, and met there by the shorter ones of
+    each. Sets without spots are like nothing. An id with several texts may be like itself. Every
+    pair is a row, so this is for tables whose groups of near copies are small; ngramjoin does without.
     """
     prints = prints.where(F.size("spots") > 0).withColumn("key", F.sha2(F.col("spots").cast("string").cast("binary"), 256))
-    classes = prints.groupBy("key").agg(F.min("id").alias("rep"))
-    members = prints.select("id", "key").join(classes, "key").select("id", "rep")
-    reps = staged(prints.join(classes, "key").where("id = rep").dropDuplicates(["rep"]).select("rep", "spots", F.size("spots").alias("n")))
-    single = reps.select("rep", "n", F.explode("spots").alias("spot"))
+    reps = staged(prints.groupBy("key").agg(F.min("id").alias("rep"), F.first("spots").alias("spots")).withColumn("n", F.size("spots")))
+    members = prints.select("id", "key").join(reps.select("key", "rep"), "key").select("id", "rep")
+    single = reps.select("key", "n", F.explode("spots").alias("spot"))
     counted = single.join(single.groupBy("spot").agg(F.count("*").alias("seen")).where("seen > 1"), "spot")
-    ranked = counted.groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("seen", "spot"))).alias("shared"))
+    ranked = counted.groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("seen", "spot"))).alias("shared"))
     # Spots that no other set has come first in rarity order, so only the rest of the prefix can meet anything.
     prefix = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1 - (F.col("n") - F.size("shared"))
-    postings = ranked.where(prefix > 0).withColumn("spot", F.explode(F.slice("shared", 1, prefix.cast("int")))).select("rep", "n", F.col("spot.spot").alias("spot"))
+    postings = ranked.where(prefix > 0).withColumn("at", F.explode(F.slice("shared", 1, prefix.cast("int")))).select("key", "n", "at.spot", F.ceil(F.col("at.seen") / SALTED).alias("salts"))
     part = F.floor(F.log("n") / math.log(1 / threshold) + 1e-9)
-    longer = postings.withColumn("part", F.explode(F.array(part, part - 1)))
-    shorter = postings.withColumn("part", part)
+    longer = postings.withColumn("part", F.explode(F.array(part, part - 1))).withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")))
+    shorter = postings.withColumn("part", part).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     a, b = longer.alias("a"), shorter.alias("b")
-    fits = (F.col("b.n") < F.col("a.n")) | ((F.col("b.n") == F.col("a.n")) & (F.col("b.rep") < F.col("a.rep")))
-    met = a.join(b, (F.col("a.spot") == F.col("b.spot")) & (F.col("a.part") == F.col("b.part")) & fits & (F.col("b.n") >= F.col("a.n") * threshold - 1e-9))
-    pairs = met.select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
-    left, right = reps.select(F.col("rep").alias("a"), F.col("spots").alias("spots_a")), reps.select(F.col("rep").alias("b"), F.col("spots").alias("spots_b"))
-    compared = pairs.join(left, "a").join(right, "b").select("a", "b", likeness(F.col("spots_a"), F.col("spots_b")).alias("likeness"))
+    fits = (F.col("b.n") < F.col("a.n")) | ((F.col("b.n") == F.col("a.n")) & (F.col("b.key") < F.col("a.key")))
+    met = a.join(b, (F.col("a.spot") == F.col("b.spot")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.salt") == F.col("b.salt")) & fits & (F.col("b.n") >= F.col("a.n") * threshold - 1e-9))
+    pairs = met.select(F.col("a.key").alias("key_a"), F.col("b.key").alias("key_b")).distinct()
+    side = lambda x: reps.select(F.col("key").alias(f"key_{x}"), F.col("rep").alias(x), F.col("spots").alias(f"spots_{x}"))
+    compared = pairs.join(side("a"), "key_a").join(side("b"), "key_b").select("a", "b", likeness(F.col("spots_a"), F.col("spots_b")).alias("likeness"))
     return members, compared.where(F.col("likeness") >= threshold - 1e-12)
 
 

@@ -107,6 +107,24 @@ def test_spotsigs_pairs(spark):
     assert {tuple(sorted((r["a"], r["b"]))) for r in pairs.collect()} == want == {(1, 3)}
 
 
+def test_spotsigs_pairs_large_group(spark):
+    """A spot that many have, ids with two texts, and null ids."""
+    rng = np.random.default_rng(2)
+    base = [f"the w{i} of x{i}" for i in range(30)]
+    texts = [(None if k == 7 else k // 2 if k < 6 else k, " ".join(w if rng.random() > 0.04 else f"the z{k} of y{i}" for i, w in enumerate(base))) for k in range(300)]
+    prints = spotsigs.fingerprints(spark.createDataFrame(texts, "doc_id long, text string").repartition(4))
+    sets, reps = {}, {}
+    for r in prints.collect():
+        key = tuple(r["spots"])
+        sets[key] = set(r["spots"])
+        reps[key] = min((i for i in (reps.get(key), r["id"]) if i is not None), default=None)
+    keys = sorted(sets)
+    want = Counter(tuple(sorted((reps[a], reps[b]), key=order)) for i, a in enumerate(keys) for b in keys[:i] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-12)
+    members, pairs = spotsigs.near_pairs(prints)
+    assert Counter(tuple(sorted((r["a"], r["b"]), key=order)) for r in pairs.collect()) == want and len(want) > 1000
+    assert members.count() == len(texts)
+
+
 def test_sharding(docs, empty):
     assert sharding.shard_by_bytes(empty, 8).count() == 0
     rows = sorted(sharding.shard_by_bytes(docs, 3).collect(), key=lambda r: (r["shard"], r["slot"]))
