@@ -44,8 +44,10 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: in
     """
     rng = np.random.default_rng(seed)
     everything = np.concatenate([positive, unlabelled])
-    model = Scorer(everything.mean(axis=0) if mean is None else mean, (everything.std(axis=0) if scale is None else scale) + 1e-6)
-    p, u = model.inputs(positive).astype(np.float32), model.inputs(unlabelled).astype(np.float32)
+    middle, spread = (everything.mean(axis=0) if mean is None else mean), (everything.std(axis=0) if scale is None else scale)
+    model = Scorer(np.asarray(middle, np.float32), np.asarray(spread, np.float32) + np.float32(1e-6))
+    del everything
+    p, u = model.inputs(positive).astype(np.float32, copy=False), model.inputs(unlabelled).astype(np.float32, copy=False)
     width = p.shape[1]
     if hidden:
         model.weights = [rng.normal(0, 1 / math.sqrt(width), (width, hidden)), np.zeros(hidden), rng.normal(0, 1 / math.sqrt(hidden), hidden), np.zeros(1)]
