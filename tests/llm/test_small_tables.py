@@ -203,7 +203,9 @@ def test_one_of_each(docs):
     assert kept[(10, "two words")] == 1 and kept[(12, "TWO words")] == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hub", [100_000, 3])
+def test_components(spark, monkeypatch, hub):
+    monkeypatch.setattr(components, "HUB", hub)
     rng = np.random.default_rng(5)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 120, (70, 2))] + [(200 + i, 201 + i) for i in range(30)] + [(5, 5)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
