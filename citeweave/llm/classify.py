@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -69,8 +70,8 @@ def shape_features(b: Buffer) -> np.ndarray:
 
 #: Hashed features, lengths of word beginnings in bytes, features counted over the corpus, and features kept at most.
 SPACE, BEGINNINGS, CANDIDATES, KEPT = 1 << 24, (3, 4, 5, 6), 1 << 14, 1500
-#: Of these least significances and weight decays the pair of least risk on rows apart is taken.
-LEAST, DECAYS = (1.5, 3, 5, 6), (1e-2, 1e-3)
+#: Least significances of the features of the models that are averaged, and their weight decay.
+LEAST, DECAY = (1.5, 3, 5), 1e-2
 
 
 def word_features(b: Buffer) -> list[np.ndarray]:
@@ -204,35 +205,64 @@ def fit_quality(positive: list[bytes], unlabelled: list[bytes], sums: np.ndarray
     return nnpu.scored(fit(p, u, prior, 30), u, threshold)
 
 
-def fit_toxicity(positive: list[np.ndarray], unlabelled: list[np.ndarray], ids: np.ndarray, often: np.ndarray, rest: int, threshold: float = THRESHOLD) -> tuple[Vocabulary, nnpu.Scorer] | None:
+@dataclass
+class Blend:
+    """Models over parts of one vocabulary, whose outputs are put on one scale and averaged; over 0 is the decision."""
+
+    words: Vocabulary
+    models: list[tuple[np.ndarray, nnpu.Scorer]]
+    shift: float
+
+    @staticmethod
+    def part(x: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Inputs of a smaller vocabulary from those of the whole one."""
+        own = x[:, columns]
+        total = own.sum(axis=1)
+        return np.column_stack([own, total, np.log1p(np.maximum(0, total)), x[:, -1]])
+
+    def score(self, sets: list[np.ndarray]) -> np.ndarray:
+        x = self.words.inputs(sets)
+        out = np.mean([model.slope * model.raw(self.part(x, columns)) for columns, model in self.models], axis=0)
+        return nnpu.sigmoid(4 * out + self.shift)
+
+
+def fit_toxicity(positive: list[np.ndarray], unlabelled: list[np.ndarray], ids: np.ndarray, often: np.ndarray, rest: int, threshold: float = THRESHOLD) -> Blend | None:
     """Toxicity model of both samples' sets; often counts the documents, of rest in all, that have each candidate feature.
 
-    Half of both samples fits models of every least significance and decay, the other
-    half estimates their class prior and risk; the best choice is fitted to all.
+    Few significant features tell a little for sure and many tell more with noise, and
+    which is better depends on the number of positives; so a model is fitted for each of
+    LEAST, and their outputs are averaged. Models on either half of both samples
+    estimate the class prior on the other half.
     """
     if not positive or not unlabelled:
         return None
-    (p1, p2), (u1, u2) = nnpu.halves(len(positive)), nnpu.halves(len(unlabelled))
-    pick = lambda sets, at: [sets[i] for i in at]
 
-    def fit(p: np.ndarray, u: np.ndarray, prior: float, epochs: int, decay: float) -> nnpu.Scorer:
+    def fit(p: np.ndarray, u: np.ndarray, prior: float, epochs: int) -> nnpu.Scorer:
         mean, scale = np.zeros(p.shape[1]), np.ones(p.shape[1])
         last = np.concatenate([p[:, -3:], u[:, -3:]])
         mean[-3:], scale[-3:] = last.mean(axis=0), last.std(axis=0)
-        return nnpu.train(p, u, prior, epochs=epochs, rate=0.01, decay=decay, mean=mean, scale=scale)
-
-    tried = []
-    for least in LEAST:
-        words = Vocabulary.of(pick(positive, p1), ids, often, rest, least)
-        one, other, rest_one, rest_other = (words.inputs(pick(s, at)) for s, at in ((positive, p1), (positive, p2), (unlabelled, u1), (unlabelled, u2)))
-        for decay in DECAYS:
-            guess = fit(one, rest_one, 0.5, 10, decay)
-            prior = nnpu.class_prior(guess.raw(other), guess.raw(rest_other))
-            tried.append((nnpu.risk(fit(one, rest_one, prior, 15, decay), other, rest_other, prior) if len(other) else 0.0, least, decay, prior))
-    _, least, decay, prior = min(tried, key=lambda x: x[0])
-    words = Vocabulary.of(positive, ids, often, rest, least)
-    u = words.inputs(unlabelled)
-    return words, nnpu.scored(fit(words.inputs(positive), u, prior, 30, decay), u, threshold)
+        return nnpu.train(p, u, prior, epochs=epochs, rate=0.01, decay=DECAY, mean=mean, scale=scale)
+
+    pick = lambda sets, at: [sets[i] for i in at]
+    (p1, p2), (u1, u2) = nnpu.halves(len(positive)), nnpu.halves(len(unlabelled))
+    words = Vocabulary.of(positive, ids, often, rest, min(LEAST))
+    p, u = words.inputs(positive), words.inputs(unlabelled)
+    models: list[tuple[np.ndarray, nnpu.Scorer]] = []
+    for least in sorted(LEAST):
+        columns = np.flatnonzero(np.isin(words.ids, Vocabulary.of(positive, ids, often, rest, least).ids))
+        if models and len(columns) == len(models[-1][0]):
+            continue
+        priors = []
+        for p_in, u_in, p_out, u_out in ((p1, u1, p2, u2), (p2, u2, p1, u1)):
+            if len(p_in) and len(u_in):
+                half = Vocabulary.of(pick(positive, p_in), ids, often, rest, least)
+                guess = fit(half.inputs(pick(positive, p_in)), half.inputs(pick(unlabelled, u_in)), 0.5, 12)
+                priors.append(nnpu.class_prior(guess.raw(half.inputs(pick(positive, p_out))), guess.raw(half.inputs(pick(unlabelled, u_out)))))
+        own_p, own_u = Blend.part(p, columns), Blend.part(u, columns)
+        model = fit(own_p, own_u, float(np.mean(priors)), 30)
+        model.slope = float(1 / (model.raw(own_u).std() + 1e-6))
+        models.append((columns, model))
+    return Blend(words, models, math.log(threshold / (1 - threshold)))
 
 
 def _scored(docs: DataFrame, score: Callable[[list[bytes]], np.ndarray], columns: list[str]) -> DataFrame:
@@ -281,8 +311,7 @@ def toxicity_scorer(docs: DataFrame, labels: DataFrame, folds: int = 4, held: in
     def score(texts: list[bytes]) -> np.ndarray:
         if fitted is None:
             return np.full(len(texts), 0.5)
-        vocabulary, model = fitted
-        return np.concatenate([np.zeros(0), *(model.score(vocabulary.inputs(word_features(b))) for _, b in buffers(texts))]).astype(float)
+        return np.concatenate([np.zeros(0), *(fitted.score(word_features(b)) for _, b in buffers(texts))]).astype(float)
 
     return score
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 import numpy as np
 
 
-def _sigmoid(z: np.ndarray) -> np.ndarray:
+def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
@@ -32,7 +32,7 @@ class Scorer:
         return h @ self.weights[-2] + self.weights[-1]
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(self.slope * self.raw(x) + self.shift)
+        return sigmoid(self.slope * self.raw(x) + self.shift)
 
 
 def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 0, epochs: int = 40, batch: int = 512, rate: float = 0.01, decay: float = 1e-4, slack: float = 0.0, seed: int = 5, mean: np.ndarray | None = None, scale: np.ndarray | None = None) -> Scorer:
@@ -65,7 +65,7 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: in
             x = np.concatenate([bp, bu])
             hid = np.maximum(x @ model.weights[0] + model.weights[1], 0) if hidden else x
             out = hid @ model.weights[-2] + model.weights[-1]
-            q = _sigmoid(out)
+            q = sigmoid(out)
             slope = (q * (1 - q)).astype(np.float32)  # of the loss l(-f) = q; that of l(f) = 1 - q is its negative
             n_p = len(bp)
             negatives = q[n_p:].mean() - prior * q[:n_p].mean()
@@ -107,12 +107,6 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray, gamma: float = 0.0
     return float(min(0.98, max(0.005, reach_u[best] / reach_p[best])))
 
 
-def risk(model: Scorer, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> float:
-    """The non-negative risk of the zero-one loss on rows the model was not trained on."""
-    p, u = (model.raw(positive) > 0).mean(), (model.raw(unlabelled) > 0).mean()
-    return float(prior * (1 - p) + max(0.0, u - prior * p))
-
-
 def scored(model: Scorer, unlabelled: np.ndarray, threshold: float) -> Scorer:
     """Let the model's own decision, an output over 0, be a score over the threshold; no label is used."""
     out = model.raw(unlabelled)
