@@ -196,25 +196,23 @@ class Tagger:
         return np.maximum(most, gain) <= 0
 
     def marginals(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probabilities of tags, summed probabilities of tag pairs, and log of the partition function."""
+        """Probabilities of tags, summed probabilities of tag pairs, and log of the partition function, by sums that are scaled to one at each step."""
         n, steps, _ = e.shape
-        move = (self.p["move"] + _PAIRS)[None]
-        forward, backward = np.empty_like(e), np.zeros_like(e)
-        forward[:, 0] = e[:, 0] + _FIRST
-        for t in range(1, steps):
-            s = forward[:, t - 1, :, None] + move
-            top = s.max(axis=1)
-            forward[:, t] = top + np.log(np.exp(s - top[:, None]).sum(axis=1)) + e[:, t]
+        top = e.max(axis=2, keepdims=True)
+        p, move = np.exp(e - top) + 1e-30, np.exp(self.p["move"] + _PAIRS)
+        forward, backward, scale = np.empty_like(p), np.ones_like(p), np.empty((n, steps, 1), p.dtype)
+        a = p[:, 0] * np.exp(_FIRST)
+        for t in range(steps):
+            if t:
+                a = (a @ move) * p[:, t]
+            scale[:, t] = a.sum(axis=1, keepdims=True)
+            a = forward[:, t] = a / scale[:, t]
+        joint = p / scale
         for t in range(steps - 2, -1, -1):
-            s = (backward[:, t + 1] + e[:, t + 1])[:, None] + move
-            top = s.max(axis=2)
-            backward[:, t] = top + np.log(np.exp(s - top[:, :, None]).sum(axis=2))
-        last = forward[:, -1]
-        top = last.max(axis=1)
-        z = top + np.log(np.exp(last - top[:, None]).sum(axis=1))
-        single = np.exp(forward + backward - z[:, None, None])
-        pair = np.exp(forward[:, :-1, :, None] + move[:, None] + (e + backward)[:, 1:, None] - z[:, None, None, None]).sum(axis=(0, 1))
-        return single, pair, z
+            backward[:, t] = (backward[:, t + 1] * joint[:, t + 1]) @ move.T
+        joint *= backward
+        pair = move * (forward[:, :-1].reshape(-1, TAGS).T @ joint[:, 1:].reshape(-1, TAGS))
+        return forward * backward, pair, np.log(scale).sum(axis=(1, 2)) + top.sum(axis=(1, 2))
 
     def decode(self, e: np.ndarray) -> np.ndarray:
         """Best tags of each window (Viterbi). Where each best path came from is only worked out along the paths taken."""
