@@ -381,3 +381,18 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10) -> Dat
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(documents(spark, sf_dir), 3, 90, 100).select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
+
+
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) END AS grams FROM d),
+u AS (SELECT doc_id, unnest(grams) AS gram FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM u AS a JOIN u AS b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN s AS x ON x.doc_id = a JOIN s AS y ON y.doc_id = b WHERE 100 * shared >= 90 * (len(x.grams) + len(y.grams) - shared)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS root FROM s UNION SELECT e.b, r.root FROM r JOIN e ON r.doc_id = e.a),
+c AS (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id),
+k AS (SELECT grams, min(doc_id) AS class_id FROM s WHERE len(grams) > 0 GROUP BY grams),
+n AS (SELECT a AS doc_id, count(*) AS n_links FROM e GROUP BY a)
+SELECT s.doc_id, CAST(len(s.grams) AS bigint) AS n_shingles, component_id, coalesce(class_id, s.doc_id) AS class_id, coalesce(n_links, 0) AS n_links FROM s JOIN c USING (doc_id) LEFT JOIN k ON k.grams = s.grams LEFT JOIN n ON n.doc_id = s.doc_id
+"""

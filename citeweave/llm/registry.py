@@ -25,4 +25,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filters": urlrules.SQL}
+    """For what SQL expresses without a trained model, a tokenizer, an image or Spark's own hash functions."""
+    return {"op2_sharding": sharding.SQL, "op3_ngram_jaccard_join": ngramjoin.SQL, "op4_url_filters": urlrules.SQL}

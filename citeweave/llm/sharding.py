@@ -39,3 +39,16 @@ def shard_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_co
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(documents(spark, sf_dir), 8)
+
+
+#: The checksum is worked out four bits at a time, with a table of 16 steps.
+SQL = """
+WITH t AS (SELECT list_transform(range(16), lambda n: list_reduce([n, 0, 0, 0, 0], lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps),
+h AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS bigint) AS size, lower(hex(encode(coalesce(text, '')))) AS digits FROM documents),
+n AS (SELECT doc_id, size, list_transform(range(0, size - 1), lambda i: (instr('0123456789abcdef', digits[2 * i + 1]) - 1) * 16 + instr('0123456789abcdef', digits[2 * i + 2]) - 1) AS bytes FROM h),
+c AS (SELECT doc_id, size, xor(list_reduce(list_prepend(CAST(4294967295 AS bigint), bytes),
+    lambda c, x: xor(xor(xor(c, x) // 16, steps[xor(c, x) % 16 + 1]) // 16, steps[xor(xor(c, x) // 16, steps[xor(c, x) % 16 + 1]) % 16 + 1])), 4294967295) AS text_crc32 FROM n, t),
+p AS (SELECT *, coalesce(sum(size) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, sum(size) OVER () AS total FROM c),
+s AS (SELECT *, CAST(least(7, (2 * start + size) * 8 // (2 * total)) AS int) AS shard FROM p)
+SELECT doc_id, size, CAST(text_crc32 AS bigint) AS text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS int) AS grown_shard FROM s
+"""

@@ -123,3 +123,20 @@ def test_registered(spark):
     names = [k for k in e.queries() if re.match(r"op\d+_", k)]
     assert sorted(int(re.match(r"op(\d+)", k)[1]) for k in names) == list(range(1, 11)) and "pipeline" in e.queries()
 
+
+
+@pytest.mark.parametrize("name", ["op2_sharding", "op3_ngram_jaccard_join", "op4_url_filters"])
+def test_oracle(spark, sf, name):
+    import glob
+    import os
+
+    from citeweave.llm import registry
+
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for f in glob.glob(f"{sf}/*.parquet"):
+        con.sql(f"create view {os.path.basename(f)[:-8]} as select * from read_parquet('{f}')")
+    got = registry.queries()[name](spark, sf)
+    columns = sorted(got.columns)
+    want = con.sql(f"select {', '.join(columns)} from ({registry.oracle_sql()[name]})")
+    assert sorted(map(str, map(tuple, got.select(*columns).collect()))) == sorted(map(str, want.fetchall()))
