@@ -2,8 +2,10 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from citeweave.operators import records as R
+from citeweave.operators.lines import section
 from citeweave.plans import queries as PQ
 from citeweave.plans.references import ParseOptions, bare_year_references, references, section_lines
 from citeweave.sources import readers, writers
@@ -59,6 +61,8 @@ def test_sources(spark, tmp_path):
     assert mods["record_type"] == "book" and mods["titles"][0]["title"] == "Big book" and mods["contributors"][0]["surname"] == "Lee" and mods["book_type"] == "monograph"
     assert "<doi>10.1/b</doi>" in mods["xml"]
     lines = spark.createDataFrame([(1, 2, "b", "10.1/x/y"), (1, 1, "a", "10.1/x/y")], "doc_id int, line_no int, text string, doi string")
+    writers.write_sections(docs.select("doc_id", section(F.col("full_text")).alias("text")), str(tmp_path / "sections"))
+    assert spark.read.parquet(str(tmp_path / "sections")).first()["text"].lstrip().startswith("Smith, A. B.")
     writers.write_references(lines, str(tmp_path / "all"))
     assert [r["text"] for r in spark.read.parquet(str(tmp_path / "all")).orderBy("line_no").collect()] == ["a", "b"]
     writers.write_references(lines, str(tmp_path / "out"), per_document=True)
