@@ -68,10 +68,10 @@ def shape_features(b: Buffer) -> np.ndarray:
 
 # ---- toxicity: words and word beginnings -----------------------------------------
 
-#: Hashed features, lengths of word beginnings in bytes, features counted over the corpus, and features kept at most.
-SPACE, BEGINNINGS, CANDIDATES, KEPT = 1 << 24, (3, 4, 5, 6), 1 << 14, 1500
-#: Least significances of the features of the models that are averaged, and their weight decay.
-LEAST, DECAY = (1.5, 3, 5), 1e-2
+#: Hashed features, lengths of word beginnings in bytes, and features counted over the corpus.
+SPACE, BEGINNINGS, CANDIDATES = 1 << 24, (3, 4, 5, 6), 1 << 14
+#: Features of the models that are averaged, most significant first; their least significance, and the models' weight decay.
+SIZES, LEAST, DECAY = (100, 400, 1500), 1.5, 1e-2
 
 
 def word_features(b: Buffer) -> list[np.ndarray]:
@@ -123,12 +123,12 @@ class Vocabulary:
     weight: np.ndarray
 
     @staticmethod
-    def of(positive: list[np.ndarray], ids: np.ndarray, often: np.ndarray, rest: int, least: float) -> Vocabulary:
-        """Of the candidate ids, of which often of the rest's documents have each, those over the least significance; KEPT at most."""
+    def of(positive: list[np.ndarray], ids: np.ndarray, often: np.ndarray, rest: int, most: int) -> Vocabulary:
+        """Of the candidate ids, of which often of the rest's documents have each, the most significant ones over LEAST."""
         seen = counted(positive, ids)
         z = significance(seen, len(positive), often, rest)
-        best = np.argsort(-z, kind="stable")[:KEPT]
-        best = np.sort(best[z[best] > least])
+        best = np.argsort(-z, kind="stable")[:most]
+        best = np.sort(best[z[best] > LEAST])
         p, q = (seen[best] + 0.5) / max(1, len(positive)), (often[best] + 0.5) / max(1, rest)
         return Vocabulary(ids[best], np.log(p / q).astype(np.float32))
 
@@ -231,7 +231,7 @@ def fit_toxicity(positive: list[np.ndarray], unlabelled: list[np.ndarray], ids:
 
     Few significant features tell a little for sure and many tell more with noise, and
     which is better depends on the number of positives; so a model is fitted for each of
-    LEAST, and their outputs are averaged. Models on either half of both samples
+    SIZES, and their outputs are averaged. Models on either half of both samples
     estimate the class prior on the other half.
     """
     if not positive or not unlabelled:
@@ -245,17 +245,17 @@ def fit_toxicity(positive: list[np.ndarray], unlabelled: list[np.ndarray], ids:
 
     pick = lambda sets, at: [sets[i] for i in at]
     (p1, p2), (u1, u2) = nnpu.halves(len(positive)), nnpu.halves(len(unlabelled))
-    words = Vocabulary.of(positive, ids, often, rest, min(LEAST))
+    words = Vocabulary.of(positive, ids, often, rest, max(SIZES))
     p, u = words.inputs(positive), words.inputs(unlabelled)
     models: list[tuple[np.ndarray, nnpu.Scorer]] = []
-    for least in sorted(LEAST):
-        columns = np.flatnonzero(np.isin(words.ids, Vocabulary.of(positive, ids, often, rest, least).ids))
+    for most in sorted(SIZES, reverse=True):
+        columns = np.flatnonzero(np.isin(words.ids, Vocabulary.of(positive, ids, often, rest, most).ids))
         if models and len(columns) == len(models[-1][0]):
             continue
         priors = []
         for p_in, u_in, p_out, u_out in ((p1, u1, p2, u2), (p2, u2, p1, u1)):
             if len(p_in) and len(u_in):
-                half = Vocabulary.of(pick(positive, p_in), ids, often, rest, least)
+                half = Vocabulary.of(pick(positive, p_in), ids, often, rest, most)
                 guess = fit(half.inputs(pick(positive, p_in)), half.inputs(pick(unlabelled, u_in)), 0.5, 12)
                 priors.append(nnpu.class_prior(guess.raw(half.inputs(pick(positive, p_out))), guess.raw(half.inputs(pick(unlabelled, u_out)))))
         own_p, own_u = Blend.part(p, columns), Blend.part(u, columns)

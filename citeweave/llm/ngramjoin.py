@@ -293,11 +293,11 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, id_col:
     all texts: if two sets are similar enough, the first n - ceil(t * n) + 1 have one in
     common. Up to `block` classes that meet are paired there if sizes (length filter), the
     places of the n-gram in both orders (positional filter) and the sizes of 64 parts of both
-    sets (suffix filter) allow the similarity; each pair is verified once. N-grams that
-    more meet are clustered by the sets they meet in; a cluster's classes
-    are cut into blocks, and every two blocks are compared in a task of their own, which
-    returns links' counts and connecting edges instead of pairs. So no task gathers more
-    than two blocks, and nothing is left out.
+    sets (suffix filter) allow the similarity. Pairs are dealt to jobs, and each set is sent to
+    the jobs that need it, straight from its text; a job verifies its pairs once. N-grams that
+    more meet are clustered by the sets they meet in; a cluster's classes are cut into blocks,
+    and every two blocks are a job, which returns links' counts and connecting edges instead of pairs.
+    So no job gathers more than about SHINGLES of small groups or two blocks, and nothing is left out.
     """
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sigs = staged(set_keys(texts, n))
