@@ -38,6 +38,26 @@ def order(i):
     return (i is not None, i or 0)
 
 
+def test_staging(spark, docs):
+    """Staged rows come back; a cluster without a shared folder is refused; staged folders can be deleted."""
+    from types import SimpleNamespace
+
+    from citeweave.llm import shared
+
+    kept = shared.staged(docs.select("doc_id", "text"))
+    assert kept.count() == len(TEXTS) and kept.schema == docs.select("doc_id", "text").schema
+    path = kept.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    import os
+
+    assert os.path.isdir(path)
+    shared.clear_stages(spark)
+    assert not os.path.isdir(path)
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn", setCheckpointDir=None)
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        shared.stage_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None)))
+    assert shared.free_name(docs, "Text") == "Text_" and shared.free_name(docs, "other") == "other"
+
+
 def test_spotsigs(spark, docs, empty):
     assert spotsigs.with_next(empty.select("doc_id", "text")).count() == 0
     rows = spotsigs.with_next(docs.select("doc_id", "text")).collect()
