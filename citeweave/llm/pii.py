@@ -8,6 +8,7 @@ import hashlib
 import io
 import random
 import re
+import threading
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -112,6 +113,20 @@ def _allowed() -> tuple[np.ndarray, np.ndarray]:
 
 _PAIRS, _FIRST = _allowed()
 
+#: Rows a pass holds of each time, and numbers it holds of as many windows as are tagged together at most.
+_ROWS = 2 * HIDDEN + EMBED + 1
+_HELD = 2 * TOGETHER * (WINDOW + 2) * _ROWS
+_KEPT = threading.local()
+
+
+def _memory(size: int) -> np.ndarray:
+    """Numbers of any value, kept for the thread's next pass, as new pages take a good part of a pass's time. What more than _HELD need is not kept."""
+    if size > _HELD:
+        return np.empty(size, np.float32)
+    if not hasattr(_KEPT, "numbers"):
+        _KEPT.numbers = np.empty(_HELD, np.float32)
+    return _KEPT.numbers[:size]
+
 
 class Tagger:
     """Parameters and passes of the network. Both directions run as one batch of two."""
@@ -145,36 +160,47 @@ class Tagger:
     def emissions(self, ids: np.ndarray) -> np.ndarray:
         """(batch, time, tags).
 
-        The network of _lstm with features before windows in memory, sigmoids as
-        hyperbolic tangents of halves, and the input layer as a row per character, which
-        takes a fraction of the time.
+        The network of _lstm with features before windows in memory and sigmoids as
+        hyperbolic tangents of halves, which takes a fraction of the time. Each time has
+        _ROWS rows: the state of the forward direction before it, its character's
+        embedding, ones, the state of the backward direction after it. What a direction
+        reads is a slice of them, and its new state goes into the next time's rows, in
+        memory that passes reuse.
         """
         n, steps = ids.shape
+        one = HIDDEN + EMBED
         half = np.repeat(np.array([0.5, 1], np.float32), [3 * HIDDEN, HIDDEN])
-        rows = [np.ascontiguousarray(((self.p["embed"] @ self.p["wx"][d] + self.p["b"][d]) * half).T) for d in range(2)]
-        inner = np.ascontiguousarray((self.p["wh"] * half * np.float32(0.5)).transpose(0, 2, 1))  # h is kept twice as large
-        order = np.ascontiguousarray(ids.T)
-        z, given, tc = (np.empty((2, k * HIDDEN, n), np.float32) for k in (4, 4, 1))
-        h, c, out = np.zeros((2, HIDDEN, n), np.float32), np.zeros((2, HIDDEN, n), np.float32), np.empty((2, steps, HIDDEN, n), np.float32)
+        wh, wx, b = ((self.p[k] * half).transpose(0, 2, 1) for k in ("wh", "wx", "b"))
+        wh = wh * np.float32(0.5)  # states are kept twice as large
+        forward, backward = np.concatenate([wh[0], wx[0], b[0]], axis=1), np.concatenate([wx[1], b[1], wh[1]], axis=1)
+        rows = _memory((steps + 2) * _ROWS * n).reshape(steps + 2, _ROWS, n)
+        letters, order = np.ascontiguousarray(self.p["embed"].T), np.ascontiguousarray(ids.T)
         for t in range(steps):
-            np.matmul(inner, h, out=z)
-            np.take(rows[0], order[t], axis=1, out=given[0], mode="clip")
-            np.take(rows[1], order[steps - 1 - t], axis=1, out=given[1], mode="clip")
-            z += given
+            letters.take(order[t], axis=1, out=rows[t + 1, HIDDEN:one], mode="clip")
+        rows[:, one] = 1
+        rows[1, :HIDDEN] = rows[steps, one + 1 :] = 0
+        z, c, tc = np.empty((2, 4 * HIDDEN, n), np.float32), np.zeros((2, HIDDEN, n), np.float32), np.empty((2, HIDDEN, n), np.float32)
+        i, f, o, cand = (z[:, k * HIDDEN : (k + 1) * HIDDEN] for k in range(4))
+        gates = z[:, : 3 * HIDDEN]
+        for t in range(1, steps + 1):
+            u = steps + 1 - t
+            np.matmul(forward, rows[t, : one + 1], out=z[0])
+            np.matmul(backward, rows[u, HIDDEN:], out=z[1])
             np.tanh(z, out=z)
-            z[:, : 3 * HIDDEN] += 1
-            c *= z[:, HIDDEN : 2 * HIDDEN]
-            np.multiply(z[:, :HIDDEN], z[:, 3 * HIDDEN :], out=tc)
+            gates += 1
+            c *= f
+            np.multiply(i, cand, out=tc)
             c += tc
             c *= 0.5
             np.tanh(c, out=tc)
-            h = np.multiply(tc, z[:, 2 * HIDDEN : 3 * HIDDEN])
-            out[:, t] = h
-        last = np.ascontiguousarray(self.p["out"].T * np.float32(0.5))
-        e = np.matmul(last[:, :HIDDEN], out[0])
-        e += np.matmul(last[:, HIDDEN:], out[1, ::-1])
-        e += self.p["bias"][:, None]
-        return e.transpose(2, 0, 1)
+            np.multiply(tc[0], o[0], out=rows[t + 1, :HIDDEN])
+            np.multiply(tc[1], o[1], out=rows[u - 1, one + 1 :])
+        # From the ones before a time to the forward state after it, with nothing for its own rows.
+        last = self.p["out"].T * np.float32(0.5)
+        weights = np.concatenate([self.p["bias"][:, None], last[:, HIDDEN:], np.zeros((TAGS, _ROWS), np.float32), last[:, :HIDDEN]], axis=1)
+        size = rows.itemsize * n
+        around = np.ndarray((steps, weights.shape[1], n), np.float32, rows, one * size, (_ROWS * size, size, rows.itemsize))
+        return np.matmul(weights, around).transpose(2, 0, 1)
 
     def outside(self, e: np.ndarray) -> np.ndarray:
         """Whether all tags outside are a window's best path, for each window it can be told of without decoding.
@@ -187,13 +213,17 @@ class Tagger:
         enter, leave = move[0, begin].max(), move[1:, 0].max()
         next_begin, next_inside = move[1:][:, begin].max(), move[1:][:, inside].max()
         e = e.transpose(1, 2, 0)
-        begins, insides = e[:, begin].max(axis=1) - e[:, 0], e[:, inside].max(axis=1) - e[:, 0]
+        begins, on = e[:, 1::2].max(axis=1) - e[:, 0], e[:, 2::2].max(axis=1) - e[:, 0]
         gain = begins[0] + max(0.0, enter)
-        most = gain + leave
-        for s, t in zip(begins[1:], insides[1:], strict=True):
-            gain = np.maximum(np.maximum(gain + next_begin, enter) + s, gain + (t + next_inside))
-            np.maximum(most, gain + leave, out=most)
-        return np.maximum(most, gain) <= 0
+        most = gain.copy()
+        on += next_inside
+        np.maximum(on, begins + next_begin, out=on)
+        begins += enter
+        for start, more in zip(begins[1:], on[1:], strict=True):
+            gain += more
+            np.maximum(gain, start, out=gain)
+            np.maximum(most, gain, out=most)
+        return np.maximum(most + leave, gain) <= 0
 
     def marginals(self, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probabilities of tags, summed probabilities of tag pairs, and log of the partition function, by sums that are scaled to one at each step."""
@@ -455,7 +485,7 @@ def _windows(text: str) -> list[tuple[int, np.ndarray]]:
     rest = points[full * STRIDE :]
     last = np.full((1, -(-len(rest) // 32) * 32), _PAD, np.uint8)
     last[0, : len(rest)] = rest
-    many = np.lib.stride_tricks.sliding_window_view(points, WINDOW)[: full * STRIDE : STRIDE] if full else None
+    many = np.ndarray((full, WINDOW), np.uint8, points, 0, (STRIDE, 1)) if full else None
     return [*([(0, many)] if full else []), (full * STRIDE, last)]
 
 
@@ -500,40 +530,55 @@ def find(texts: Sequence[str], model: Tagger | None) -> list[tuple[list[Span], l
         """Whether a base span overlaps: else as many start before f as end by s."""
         return len(starts[n]) > 0 and int(np.searchsorted(starts[n], f)) != int(np.searchsorted(ends[n], s, "right"))
 
-    def tagged(group: Sequence[tuple[int, int]], ids: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """Tag the stretches (text, start). Whole spans become candidates; returns (place in group, text, start, end) of those cut at an inner edge."""
-        width, e = ids.shape[1], model.emissions(ids)
+    def opened(ids: np.ndarray) -> tuple[list[int], np.ndarray]:
+        """The rows whose best path may hold a span, and their emissions."""
+        e = model.emissions(ids)
         open_to = np.flatnonzero(~model.outside(e))
-        tags = model.decode(e[open_to])
+        return open_to.tolist(), e[open_to]
+
+    def tagged(group: Sequence[tuple[int, int]], e: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Tag the stretches (text, start). Whole spans become candidates; returns (place in group, text, start, end) of those cut at an inner edge."""
+        width, tags = e.shape[1], model.decode(e)
         pieces, unsure = [], []
         for k in np.flatnonzero((tags > 0).any(axis=1)).tolist():
-            i, row = int(open_to[k]), tags[k]
-            n, w = group[i]
+            n, w = group[k]
             text = texts[n]
-            for kind, b, stop in spans_of(row):
+            for kind, b, stop in spans_of(tags[k]):
                 s, f = w + b, min(w + stop, len(text))
                 if b == 0 and w > 0 or stop == width and f < len(text):
-                    pieces.append((i, n, s, f))
+                    pieces.append((k, n, s, f))
                     continue
                 whole[n].append((s, f))
                 if not in_base(n, s, f) and _valid(kind, text[s:f], text[s - 1 : s] if s else "", text[f : f + 1]):
                     unsure.append((k, kind, b, stop))
         rows = sorted({k for k, *_ in unsure})
-        single = dict(zip(rows, model.marginals(e[open_to[rows]])[0], strict=True)) if rows else {}
+        single = dict(zip(rows, model.marginals(e[rows])[0], strict=True)) if rows else {}
         for k, kind, b, stop in unsure:
-            n, w = group[int(open_to[k])]
+            n, w = group[k]
             sure = single[k][np.arange(b, stop), tags[k, b:stop]]
             if sure.mean() >= model.sure[KINDS.index(kind)]:
                 span = (kind, w + b, min(w + stop, len(texts[n])))
                 candidates[n][span] = max(candidates[n].get(span, 0.0), float((sure - 0.5).sum()))
         return pieces
 
+    # Windows that wait for a pass, and those few that wait to be decoded, by width: a step over many rows costs little more than over one.
     waiting: dict[int, tuple[list[tuple[int, int]], list[np.ndarray]]] = {}
+    undecoded: dict[int, tuple[list[tuple[int, int]], list[np.ndarray]]] = {}
+
+    def decode_waiting(width: int) -> None:
+        places, e = undecoded.pop(width)
+        for _, n, s, f in tagged(places, np.concatenate(e)):
+            cut.setdefault(n, []).append((s, f))
 
     def tag_waiting(width: int) -> None:
         places, ids = waiting.pop(width)
-        for _, n, s, f in tagged(places, np.concatenate(ids)):
-            cut.setdefault(n, []).append((s, f))
+        open_to, e = opened(np.concatenate(ids))
+        if open_to:
+            open_places, rows = undecoded.setdefault(width, ([], []))
+            open_places += [places[i] for i in open_to]
+            rows.append(e)
+            if len(open_places) >= TOGETHER:
+                decode_waiting(width)
 
     for n, t in enumerate(texts if model else ()):
         for first, rows in _windows(t):
@@ -546,6 +591,8 @@ def find(texts: Sequence[str], model: Tagger | None) -> list[tuple[list[Span], l
                     tag_waiting(width)
     for width in list(waiting):
         tag_waiting(width)
+    for width in list(undecoded):
+        decode_waiting(width)
 
     pending: list[tuple[int, int, int]] = []
     for n in sorted(cut.keys() | {n for n, w in enumerate(whole) if w}):
@@ -573,7 +620,9 @@ def find(texts: Sequence[str], model: Tagger | None) -> list[tuple[list[Span], l
                     piece = codes(texts[n][w : w + width])
                     row[: len(piece)] = piece
                 longer: dict[int, tuple[int, int, int]] = {}
-                for i, n, s, f in tagged(places, rows):
+                open_to, e = opened(rows)
+                for k, n, s, f in tagged([places[i] for i in open_to], e):
+                    i = open_to[k]
                     _, first, last = group[i]
                     if s < last and first < f:
                         _, a, b = longer.get(i, group[i])

@@ -565,6 +565,49 @@ def test_tagger_passes_agree():
         assert np.isclose(worth(tags.tolist()), max(map(worth, itertools.product(range(pii.TAGS), repeat=4))), atol=1e-4)
 
 
+def test_passes_reuse_memory():
+    """A pass takes no more new memory than about its result, and what an earlier one left there changes nothing."""
+    import tracemalloc
+
+    model, rng = pii.Tagger(3), np.random.default_rng(7)
+    wide = rng.integers(0, 99, (pii.TOGETHER, pii.WINDOW)).astype(np.uint8)
+    first = model.emissions(wide).copy()
+    for shape in ((4, 32), (1, 96), (700, 32)):
+        ids = rng.integers(0, 99, shape).astype(np.uint8)
+        h, _ = model._lstm(ids)
+        e = (np.concatenate([h[0], h[1, ::-1]], axis=2) @ model.p["out"] + model.p["bias"]).transpose(1, 0, 2)
+        assert np.allclose(model.emissions(ids), e, atol=1e-5)
+    tracemalloc.start()
+    again = model.emissions(wide)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (again == first).all() and peak < 2 * again.nbytes
+
+
+def test_open_windows_are_decoded_together(spark):
+    """Spans far apart, one or so in a pass, are decoded at once and found at their places."""
+    passes, decoded = [], []
+
+    class Counting(pii.Tagger):
+        def emissions(self, ids):
+            passes.append(len(ids))
+            return super().emissions(ids)
+
+        def decode(self, e):
+            decoded.append(len(e))
+            return super().decode(e)
+
+    model, own = Counting(1), pii.default_tagger(spark)
+    model.p, model.sure = own.p, own.sure
+    text, want = "", []
+    for _ in range(6):
+        text += "plain words only " * 7000
+        want.append(("phone", len(text), len(text) + 14))
+        text += "(555) 123-4567 "
+    assert pii.find([text], model) == [([], want)]
+    assert len(passes) > 5 and 0 < len(decoded) < len(passes) and sum(decoded) < 0.1 * sum(passes)
+
+
 def test_best_spans():
     rng = np.random.default_rng(6)
     for _ in range(50):
