@@ -72,6 +72,17 @@ def test_sources(spark, tmp_path):
     assert "".join(open(f).read() for f in glob.glob(str(tmp_path / "doi/name=x_y/*.txt"))) == "10.1/x/y\na\nb\n"
 
 
+def test_a_deposit_is_copied_once(spark):
+    rows = spark.createDataFrame([("<b/>",), ("<a/>",), (None,), ("<b/>",)], "xml string")
+    for records, body in ((rows, "<a/><b/><b/>"), (rows.where("false"), ""), (rows.where("xml is null"), "")):
+        out = R.batch_xml(records, R.DepositOptions(depositor="D & Co"))
+        (row,) = out.collect()
+        assert row["batch"] == 0 and row["xml"].endswith(f"<registrant></registrant></head><body>{body}</body></doi_batch>")
+        assert row["xml"].startswith('<?xml version="1.0" encoding="UTF-8"?><doi_batch xmlns="http://www.crossref.org/schema/5.4.0" xmlns:xsi=') and ' version="5.4.0"><head><doi_batch_id>batch</doi_batch_id>' in row["xml"]
+    plan = R.batch_xml(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_join" not in plan and plan.count("concat_ws(") == 1  # no other text holds the whole deposit
+
+
 def parsed(xml):
     from xml.etree import ElementTree
 
